@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The modelled workload is batch only and full refresh only — there is no
+stream source, watermark, event-time window or state anywhere in it — so no
+Structured Streaming operator is provided.  Every model here is a plain
+DataFrame function and can be applied to a micro-batch inside
+``foreachBatch`` if a caller ever needs that.
+"""
