@@ -9,9 +9,10 @@ in one task.  ``surrogate_key`` produces the identical numbering distributed:
 2. tag every row with ``monotonically_increasing_id`` — by contract the
    partition index sits in the upper 31 bits and the row's position inside
    its partition in the lower 33 bits;
-3. checkpoint that tagged frame to the reliable checkpoint folder, so the
-   sampled range boundaries are fixed once (a re-evaluation could cut
-   elsewhere) and a lost executor re-reads files instead of re-sampling;
+3. write that tagged frame once as a parquet table in the shared folder
+   named by ``spark.checkpoint.dir`` and read it back, so the sampled range
+   boundaries are fixed once (a re-evaluation could cut elsewhere) and a
+   lost executor re-reads files instead of re-sampling;
 4. count rows per bucket (``n`` rows), turn them into prefix offsets on that
    bounded frame and broadcast it back: key = offset + position + 1.
 
@@ -27,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commerce_marts.session import ensure_checkpoint_dir
+from commerce_marts.session import scratch_path
 
 _POS_BITS = 33
 
@@ -36,14 +37,15 @@ def surrogate_key(df: DataFrame, by: str | Sequence[str], key_name: str,
                   num_buckets: int | None = None) -> DataFrame:
     """Add ``key_name`` = dense 1-based rank of the unique key ``by``."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     by = [by] if isinstance(by, str) else list(by)
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in by]
-    tagged = (df.repartitionByRange(max(n, 1), *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_sk_tag", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    path = scratch_path(spark, f"surrogate-{key_name}")
+    (df.repartitionByRange(max(n, 1), *order)
+     .sortWithinPartitions(*order)
+     .withColumn("_sk_tag", F.monotonically_increasing_id())
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)
     bucket = F.shiftright("_sk_tag", _POS_BITS)
     position = F.col("_sk_tag").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     sizes = tagged.groupBy(bucket.alias("_sk_bucket")).agg(F.count(F.lit(1)).alias("_sk_n"))

@@ -17,7 +17,7 @@ from commerce_marts.functions.scalar import DEFAULT_BAND_CUTS
 from commerce_marts.plans import marts as M
 from commerce_marts.plans import staging as S
 from commerce_marts.plans import warehouse as W
-from commerce_marts.sources.bindings import raw_sources
+from commerce_marts.sources.bindings import LazySources, raw_sources
 
 # Price-band cuts suited to the driver's synthetic prices
 # (mean item price per part is tens of thousands, so the default cuts of
@@ -28,7 +28,7 @@ DRIVER_BAND_CUTS = (47000.0, 52500.0, 58000.0)
 class Layers:
     def __init__(self, raw: Mapping[str, DataFrame],
                  band_cuts: Sequence[float] = DEFAULT_BAND_CUTS):
-        self.raw = dict(raw)
+        self.raw = raw
         self.band_cuts = tuple(band_cuts)
 
     @classmethod
@@ -39,16 +39,15 @@ class Layers:
 
     # staging ---------------------------------------------------------------
     @cached_property
-    def deduped(self) -> dict[str, DataFrame]:
-        return S.dedup_sources(self.raw)
+    def staging(self) -> Mapping[str, DataFrame]:
+        """Deduplicated and cleaned sources, each defined on first use."""
+        return LazySources({n: (lambda n=n: S.stage_source(n, self.raw[n]))
+                            for n in self.raw})
 
     @cached_property
-    def staging(self) -> dict[str, DataFrame]:
-        return {n: S.CLEANERS.get(n, lambda d: d)(df) for n, df in self.deduped.items()}
-
-    @cached_property
-    def views(self) -> dict[str, DataFrame]:
-        return S.staging_views(self.staging)
+    def views(self) -> Mapping[str, DataFrame]:
+        return LazySources({f"stg_{n}": (lambda n=n: S.staging_view(n, self.staging[n]))
+                            for n in self.raw})
 
     # warehouse -------------------------------------------------------------
     @cached_property

@@ -95,10 +95,16 @@ def dedup_sources(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
             for name, df in raw.items()}
 
 
+def stage_source(name: str, raw: DataFrame) -> DataFrame:
+    """One staging table: primary-key dedup, then the source's cleaning rule."""
+    spec = SOURCES[name]
+    deduped = dedup_by_key(raw, spec.pk, spec.dedup_order)
+    return CLEANERS.get(name, lambda d: d)(deduped)
+
+
 def load_staging(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Dedup then clean: the staging tables keyed by source name."""
-    deduped = dedup_sources(raw)
-    return {name: CLEANERS.get(name, lambda d: d)(df) for name, df in deduped.items()}
+    return {name: stage_source(name, df) for name, df in raw.items()}
 
 
 def staging_row_counts(raw: Mapping[str, DataFrame], staged: Mapping[str, DataFrame]
@@ -120,39 +126,49 @@ def staging_row_counts(raw: Mapping[str, DataFrame], staged: Mapping[str, DataFr
 
 # --- thin views ------------------------------------------------------------
 
+def staging_view(name: str, st: DataFrame) -> DataFrame:
+    """The ``stg_<name>`` model over one staging table: selection, casts, renames."""
+    if name == "orders":
+        return st.select("order_id", "customer_id", "order_status", *ORDER_TS)
+    if name == "customers":
+        return st.select("customer_id", "customer_unique_id", "customer_zip_code_prefix",
+                         "customer_city", "customer_state")
+    if name == "geolocation":
+        return st.select(
+            "geolocation_zip_code_prefix",
+            F.col("geolocation_lat").cast("double").alias("geolocation_lat"),
+            F.col("geolocation_lng").cast("double").alias("geolocation_lng"),
+            "geolocation_city", "geolocation_state")
+    if name == "order_items":
+        return st.select(
+            "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+            F.col("price").cast("double").alias("price"),
+            F.col("freight_value").cast("double").alias("freight_value"))
+    if name == "order_payments":
+        return st.select(
+            "order_id", "payment_sequential", "payment_type", "payment_installments",
+            F.col("payment_value").cast("double").alias("payment_value"))
+    if name == "order_reviews":
+        return st.select(
+            "review_id", "order_id", F.col("review_score").cast("int").alias("review_score"),
+            "review_comment_title", "review_comment_message", "review_creation_date",
+            "review_answer_timestamp")
+    if name == "products":
+        return st.select(
+            "product_id", "product_category_name",
+            F.col("product_name_lenght").cast("int").alias("product_name_length"),
+            F.col("product_description_lenght").cast("int").alias("product_description_length"),
+            F.col("product_photos_qty").cast("int").alias("product_photos_qty"),
+            *[F.col(c).cast("double").alias(c) for c in (
+                "product_weight_g", "product_length_cm", "product_height_cm",
+                "product_width_cm")])
+    if name == "sellers":
+        return st.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state")
+    if name == "category_translation":
+        return st.select("product_category_name", "product_category_name_english")
+    raise KeyError(name)
+
+
 def staging_views(st: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The ``stg_*`` models: column selection, casts and renames."""
-    v = {}
-    v["stg_orders"] = st["orders"].select(
-        "order_id", "customer_id", "order_status", *ORDER_TS)
-    v["stg_customers"] = st["customers"].select(
-        "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
-        "customer_state")
-    v["stg_geolocation"] = st["geolocation"].select(
-        "geolocation_zip_code_prefix",
-        F.col("geolocation_lat").cast("double").alias("geolocation_lat"),
-        F.col("geolocation_lng").cast("double").alias("geolocation_lng"),
-        "geolocation_city", "geolocation_state")
-    v["stg_order_items"] = st["order_items"].select(
-        "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
-        F.col("price").cast("double").alias("price"),
-        F.col("freight_value").cast("double").alias("freight_value"))
-    v["stg_order_payments"] = st["order_payments"].select(
-        "order_id", "payment_sequential", "payment_type", "payment_installments",
-        F.col("payment_value").cast("double").alias("payment_value"))
-    v["stg_order_reviews"] = st["order_reviews"].select(
-        "review_id", "order_id", F.col("review_score").cast("int").alias("review_score"),
-        "review_comment_title", "review_comment_message", "review_creation_date",
-        "review_answer_timestamp")
-    v["stg_products"] = st["products"].select(
-        "product_id", "product_category_name",
-        F.col("product_name_lenght").cast("int").alias("product_name_length"),
-        F.col("product_description_lenght").cast("int").alias("product_description_length"),
-        F.col("product_photos_qty").cast("int").alias("product_photos_qty"),
-        *[F.col(c).cast("double").alias(c) for c in (
-            "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")])
-    v["stg_sellers"] = st["sellers"].select(
-        "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state")
-    v["stg_category_translation"] = st["category_translation"].select(
-        "product_category_name", "product_category_name_english")
-    return v
+    """All ``stg_*`` models."""
+    return {f"stg_{n}": staging_view(n, df) for n, df in st.items()}

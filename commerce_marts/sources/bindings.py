@@ -15,6 +15,8 @@ threshold and otherwise shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,33 @@ from commerce_marts.sources.schemas import RAW_SCHEMAS
 DRIVER_TABLES = ("orders", "lineitem", "customer", "part", "supplier", "nation", "region")
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one split per core.
+
+    A source that arrives as one unsplittable unit (a single row group, a
+    multi-line CSV, a gzip file) is read by one task, and every per-row step
+    up to the first shuffle then runs in that task.  Only in that case the
+    rows are dealt round-robin over the default parallelism; a scan that
+    already has enough splits — the normal case for large tables — is
+    returned untouched, so no extra exchange is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= cores:
+        return df.repartition(cores)
+    return df
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table (memoized per session and path; reads are lazy)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return _READS[key]
 
 
 def _s(c) -> F.Column:
@@ -118,41 +145,55 @@ def raw_order_items(spark: SparkSession, sf_dir: str, corrupt_dates: bool = Fals
 
 
 def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment 1 per order (type by priority) and a voucher payment 2 for some.
+
+    Both rows come out of one scan: an array of candidate payment structs per
+    order is generated and the inapplicable ones are dropped.
+    """
     o = driver_table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 101 != 0)
     key = F.col("o_orderkey")
     prio = F.substring("o_orderpriority", 1, 1)
     ptype = (F.when(prio.isin("1", "2", "3"), "credit_card").when(prio == "4", "boleto")
              .otherwise("voucher"))
-    first = o.select(_s(key).alias("order_id"), F.lit(1).alias("payment_sequential"),
-                     ptype.alias("payment_type"),
+    first = F.struct(F.lit(1).alias("payment_sequential"), ptype.alias("payment_type"),
                      (key % 10 + 1).cast("int").alias("payment_installments"),
                      F.col("o_totalprice").alias("payment_value"))
-    second = o.where(key % 4 == 0).select(
-        _s(key).alias("order_id"), F.lit(2).alias("payment_sequential"),
-        F.lit("voucher").alias("payment_type"), F.lit(1).alias("payment_installments"),
-        F.lit(10.5).alias("payment_value"))
-    return _conform(first.unionByName(second), "order_payments")
+    second = F.when(key % 4 == 0, F.struct(
+        F.lit(2).alias("payment_sequential"), F.lit("voucher").alias("payment_type"),
+        F.lit(1).cast("int").alias("payment_installments"),
+        F.lit(10.5).alias("payment_value")))
+    df = (o.select(_s(key).alias("order_id"),
+                   F.explode(F.array(first, second)).alias("p"))
+          .where(F.col("p").isNotNull())
+          .select("order_id", "p.*"))
+    return _conform(df, "order_payments")
 
 
 def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review ``r<key>`` (re-answered later with score 5 for some keys) and ``s<key>``.
+
+    One scan of orders; each order yields up to three candidate rows.
+    """
     o = driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     key, ts = F.col("o_orderkey"), F.col("o_orderdate")
 
-    def part(cond, prefix, score, answer_days):
-        return o.where(cond).select(
+    def review(cond, prefix, score, answer_days):
+        return F.when(cond, F.struct(
             F.concat(F.lit(prefix), _s(key)).alias("review_id"),
-            _s(key).alias("order_id"),
             score.cast("int").alias("review_score"),
-            F.lit(None).cast("string").alias("review_comment_title"),
-            F.when(key % 3 == 0, F.concat(F.lit("review of order "), _s(key)))
-            .alias("review_comment_message"),
-            (ts + F.expr("INTERVAL 1 DAY")).alias("review_creation_date"),
-            (ts + F.expr(f"INTERVAL {answer_days} DAY")).alias("review_answer_timestamp"),
-        )
-
-    df = (part(key % 10 != 0, "r", key * 7 % 5 + 1, 3)
-          .unionByName(part(key % 13 == 0, "r", F.lit(5), 9))
-          .unionByName(part(key % 11 == 0, "s", F.lit(4), 5)))
+            (ts + F.expr(f"INTERVAL {answer_days} DAY")).alias("review_answer_timestamp")))
+
+    candidates = F.array(review(key % 10 != 0, "r", key * 7 % 5 + 1, 3),
+                         review(key % 13 == 0, "r", F.lit(5), 9),
+                         review(key % 11 == 0, "s", F.lit(4), 5))
+    df = (o.select(key, ts, F.explode(candidates).alias("r"))
+          .where(F.col("r").isNotNull())
+          .select(F.col("r.review_id"), _s(key).alias("order_id"), F.col("r.review_score"),
+                  F.lit(None).cast("string").alias("review_comment_title"),
+                  F.when(key % 3 == 0, F.concat(F.lit("review of order "), _s(key)))
+                  .alias("review_comment_message"),
+                  (ts + F.expr("INTERVAL 1 DAY")).alias("review_creation_date"),
+                  F.col("r.review_answer_timestamp")))
     return _conform(df, "order_reviews")
 
 
@@ -192,17 +233,35 @@ def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(df, "category_translation")
 
 
-def raw_sources(spark: SparkSession, sf_dir: str, corrupt_dates: bool = False
-                ) -> dict[str, DataFrame]:
-    """All nine raw sources, lazily defined over the driver tables."""
-    return {
-        "customers": raw_customers(spark, sf_dir),
-        "geolocation": raw_geolocation(spark, sf_dir),
-        "order_items": raw_order_items(spark, sf_dir, corrupt_dates),
-        "order_payments": raw_order_payments(spark, sf_dir),
-        "order_reviews": raw_order_reviews(spark, sf_dir),
-        "orders": raw_orders(spark, sf_dir, corrupt_dates),
-        "products": raw_products(spark, sf_dir),
-        "sellers": raw_sellers(spark, sf_dir),
-        "category_translation": raw_category_translation(spark, sf_dir),
-    }
+class LazySources(Mapping):
+    """Mapping name → DataFrame that defines each source on first access."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def raw_sources(spark: SparkSession, sf_dir: str, corrupt_dates: bool = False) -> LazySources:
+    """All nine raw sources over the driver tables, each defined on first use."""
+    return LazySources({
+        "customers": lambda: raw_customers(spark, sf_dir),
+        "geolocation": lambda: raw_geolocation(spark, sf_dir),
+        "order_items": lambda: raw_order_items(spark, sf_dir, corrupt_dates),
+        "order_payments": lambda: raw_order_payments(spark, sf_dir),
+        "order_reviews": lambda: raw_order_reviews(spark, sf_dir),
+        "orders": lambda: raw_orders(spark, sf_dir, corrupt_dates),
+        "products": lambda: raw_products(spark, sf_dir),
+        "sellers": lambda: raw_sellers(spark, sf_dir),
+        "category_translation": lambda: raw_category_translation(spark, sf_dir),
+    })
