@@ -77,7 +77,7 @@ def mart_sales_by_region(oij: DataFrame, customers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_items"),
         F.count_distinct("customer_unique_id").alias("unique_customers"),
         round_half_up(cents_sum("price"), 2).alias("total_revenue"),
-        round_half_up(F.sum("freight_value"), 2).alias("total_freight"),
+        round_half_up(cents_sum("freight_value"), 2).alias("total_freight"),
         round_half_up(cents_sum("price") / n_orders, 2).alias("avg_order_value"),
         round_half_up(cents_mean("price"), 2).alias("avg_item_price"),
         round_half_up(F.avg("review_score"), 2).alias("avg_review_score"),
@@ -96,7 +96,7 @@ def mart_product_performance(oij: DataFrame, products_enriched: DataFrame) -> Da
         F.count_distinct("product_id").alias("unique_products"),
         round_half_up(cents_sum("price"), 2).alias("total_revenue"),
         round_half_up(cents_mean("price"), 2).alias("avg_item_price"),
-        round_half_up(F.sum("freight_value"), 2).alias("total_freight"),
+        round_half_up(cents_sum("freight_value"), 2).alias("total_freight"),
         round_half_up(F.avg("review_score"), 2).alias("avg_review_score"),
         round_half_up(F.avg("product_weight_g"), 0).alias("avg_weight_g"))
 

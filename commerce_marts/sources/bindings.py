@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commerce_marts.functions.scalar import round_half_up
 from commerce_marts.sources.schemas import RAW_SCHEMAS
 
 DRIVER_TABLES = ("orders", "lineitem", "customer", "part", "supplier", "nation", "region")
@@ -139,7 +140,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str, corrupt_dates: bool = Fals
         _s(F.col("l_suppkey")).alias("seller_id"),
         _corrupt(ship, key, corrupt_dates).alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
+        round_half_up(F.col("l_extendedprice") * F.col("l_tax"), 2).alias("freight_value"),
     )
     return _conform(df, "order_items")
 
