@@ -21,6 +21,7 @@ HEADLINE = (
     "dim_products", "fact_orders", "int_orders_items_joined", "mart_sales_by_region",
     "mart_product_performance", "mart_delivery_kpis", "revenue_by_state",
     "executive_summary", "on_time_by_state", "profile_summary", "dq_results",
+    "warehouse_build",
 )
 
 

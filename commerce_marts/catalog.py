@@ -91,6 +91,18 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths["mart_sales_by_region"])
 
 
+def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full refresh of every layer to parquet, then row counts of the written tables."""
+    from commerce_marts.plans.build import build_all
+
+    written = build_all(spark, _layers(spark, sf_dir), scratch_path(spark, "warehouse"))
+    kinds = {"staging": "table", "marts": "mart"}
+    return Q.table_counts({
+        name: (layer, kinds.get(layer, "fact" if name.startswith("fact") else "dimension"),
+               spark.read.parquet(path))
+        for name, (layer, path) in written.items()})
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_check(spark, sf_dir, [f"{t}.parquet" for t in BND.DRIVER_TABLES])
 
@@ -187,6 +199,7 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": _q(PQ.fk_orphans),
     "table_counts": _q(PQ.table_counts),
     "export_roundtrip": export_roundtrip,
+    "warehouse_build": warehouse_build,
     "manifest_check": manifest,
     "schema_check": _q(schema_check),
     "profile_columns": _q(lambda p: PQ.profile_columns(p.raw)),

@@ -27,9 +27,15 @@ DRIVER_BAND_CUTS = (47000.0, 52500.0, 58000.0)
 
 class Layers:
     def __init__(self, raw: Mapping[str, DataFrame],
-                 band_cuts: Sequence[float] = DEFAULT_BAND_CUTS):
+                 band_cuts: Sequence[float] = DEFAULT_BAND_CUTS,
+                 staging: Mapping[str, DataFrame] | None = None):
+        """``staging`` — already deduplicated and cleaned tables (e.g. read back
+        from written staging tables); when given, they replace the derivation
+        from ``raw``."""
         self.raw = raw
         self.band_cuts = tuple(band_cuts)
+        if staging is not None:
+            self.__dict__["staging"] = staging
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str,
