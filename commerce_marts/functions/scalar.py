@@ -32,10 +32,19 @@ def round_half_up(c: ColumnOrName, n: int = 0) -> Column:
     return F.round(_c(c) * F.lit(scale), 0) / F.lit(scale)
 
 
+def cents(c: ColumnOrName) -> Column:
+    """A money amount (at most two decimals) as an exact long number of cents.
+
+    ``x * 100`` of such an amount lies within 1e-9 of an integer, so
+    ``floor(x * 100 + 0.5)`` is that integer for either sign; it avoids the
+    per-row decimal conversion that ``round`` performs on doubles.
+    """
+    return F.floor(_c(c) * F.lit(100.0) + F.lit(0.5))
+
+
 def cents_sum(c: ColumnOrName) -> Column:
     """Exact sum of a money column (two decimals) as a double; NULL if none."""
-    cents = F.round(_c(c) * F.lit(100.0), 0).cast("long")
-    return F.sum(cents).cast("double") / F.lit(100.0)
+    return F.sum(cents(c)).cast("double") / F.lit(100.0)
 
 
 def cents_mean(c: ColumnOrName) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_marts.functions import cents_mean, cents_sum, pct, price_band, round_half_up
-from commerce_marts.functions.scalar import DEFAULT_BAND_CUTS
+from commerce_marts.functions.scalar import DEFAULT_BAND_CUTS, cents
 from commerce_marts.plans.warehouse import (
     delivery_columns,
     order_payments_agg,
@@ -68,10 +68,6 @@ def _on_time(c: str = "delivery_delay_days"):
     return F.sum(F.when(F.col(c) <= 0, 1).otherwise(0)).cast("long")
 
 
-def _cents(c: str):
-    return F.round(F.col(c) * F.lit(100.0), 0).cast("long")
-
-
 def _ratio(s: str, n: str):
     return F.when(F.sum(n) > 0, F.sum(s).cast("double") / F.sum(n))
 
@@ -91,8 +87,8 @@ def mart_sales_by_region(oij: DataFrame, customers: DataFrame) -> DataFrame:
     per_order = j.groupBy("customer_state", "customer_city", "order_id",
                           "customer_unique_id").agg(
         F.count(F.lit(1)).alias("_items"),
-        F.sum(_cents("price")).alias("_price_c"), F.count("price").alias("_price_n"),
-        F.sum(_cents("freight_value")).alias("_freight_c"),
+        F.sum(cents("price")).alias("_price_c"), F.count("price").alias("_price_n"),
+        F.sum(cents("freight_value")).alias("_freight_c"),
         F.sum("review_score").alias("_rev_s"), F.count("review_score").alias("_rev_n"),
         F.sum("days_to_deliver").alias("_days_s"), F.count("days_to_deliver").alias("_days_n"),
         F.sum("delivery_delay_days").alias("_delay_s"),
