@@ -13,18 +13,52 @@ recomputing upstream layers.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from commerce_marts.operators import quality as Q
 
 from commerce_marts.plans.layers import Layers
 from commerce_marts.sources.io import conform, write_table
-from commerce_marts.sources.schemas import SOURCES, WAREHOUSE_SCHEMAS
+from commerce_marts.sources.schemas import SOURCES, WAREHOUSE_KEYS, WAREHOUSE_SCHEMAS
 
 
 def _path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def build_all(spark: SparkSession, layers: Layers, root: str) -> dict[str, tuple[str, str]]:
-    """Write staging, warehouse and marts under ``root``; returns name → (layer, path)."""
+class ConstraintViolation(RuntimeError):
+    pass
+
+
+def check_constraints(spark: SparkSession, written: dict[str, tuple[str, str]]) -> None:
+    """Primary-key and NOT NULL constraints of the written warehouse tables.
+
+    Spark does not enforce table constraints, so they are checked on the
+    written (columnar) files: one NOT NULL pass and one key aggregation per
+    table.  Failing rows are reported, never dropped.
+    """
+    checks = []
+    for name, (layer, path) in written.items():
+        if layer != "warehouse":
+            continue
+        df = spark.read.parquet(path)
+        required = [f.name for f in WAREHOUSE_SCHEMAS[name].fields if not f.nullable]
+        checks += [Q.check_not_null_many(df, name, required),
+                   Q.check_unique(df, name, list(WAREHOUSE_KEYS[name]))]
+    failed = Q.run_checks(checks).where(F.col("failures") > 0).collect()
+    if failed:
+        detail = "; ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed)
+        raise ConstraintViolation(detail)
+
+
+def build_all(spark: SparkSession, layers: Layers, root: str,
+              enforce_constraints: bool = True) -> dict[str, tuple[str, str]]:
+    """Write staging, warehouse and marts under ``root``; returns name → (layer, path).
+
+    With ``enforce_constraints`` the warehouse tables are checked right after
+    they are written and before any mart is built; a violation raises
+    ``ConstraintViolation`` with the failing counts.
+    """
     written: dict[str, tuple[str, str]] = {}
     staged = {}
     for name in layers.raw:
@@ -32,10 +66,12 @@ def build_all(spark: SparkSession, layers: Layers, root: str) -> dict[str, tuple
         path = write_table(layers.staging[name], _path(root, "staging", table))
         written[table] = ("staging", path)
         staged[name] = spark.read.parquet(path)
-    built = Layers(layers.raw, layers.band_cuts, staging=staged)
+    built = type(layers)(layers.raw, layers.band_cuts, staging=staged)
     for name, df in built.warehouse().items():
         path = write_table(conform(df, WAREHOUSE_SCHEMAS[name]), _path(root, "warehouse", name))
         written[name] = ("warehouse", path)
+    if enforce_constraints:
+        check_constraints(spark, written)
     for name, df in built.marts().items():
         written[name] = ("marts", write_table(df, _path(root, "marts", name)))
     return written

@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,8 @@ def land_as_parquet(spark: SparkSession, csv_dir: str, out_dir: str,
     for name in names or SOURCES:
         spec = SOURCES[name]
         if spec.file_name not in present:
+            warnings.warn(f"{spec.file_name} not found in {csv_dir}; skipping {name}",
+                          stacklevel=2)
             continue
         target = f"{out_dir.rstrip('/')}/{name}"
         write_table(read_source(spark, name, f"{csv_dir.rstrip('/')}/{spec.file_name}"), target)
@@ -96,3 +99,20 @@ def manifest_check(spark: SparkSession, directory: str,
     return (wanted.join(listing, "file_name", "left")
             .select("file_name", F.col("size_bytes").isNotNull().alias("present"),
                     F.col("size_bytes")))
+
+
+class MissingSourceFiles(RuntimeError):
+    pass
+
+
+def require_manifest(spark: SparkSession, directory: str,
+                     expected: Sequence[str] | None = None) -> DataFrame:
+    """``manifest_check`` that fails when any expected file is missing.
+
+    Only the small per-file result (one row per expected file) is collected.
+    """
+    m = manifest_check(spark, directory, expected)
+    missing = [r.file_name for r in m.where(~F.col("present")).select("file_name").collect()]
+    if missing:
+        raise MissingSourceFiles(f"missing in {directory}: {', '.join(missing)}")
+    return m
