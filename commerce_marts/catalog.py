@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from commerce_marts.operators.dedup import dedup_by_key
 from commerce_marts.operators.keys import surrogate_key
@@ -214,4 +213,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["mart_sales_by_region"](spark, sf_dir)
 
 
-__all__ = ["QUERIES", "ROWS_ONLY", "flagship", "F"]
+__all__ = ["QUERIES", "ROWS_ONLY", "flagship"]
