@@ -135,19 +135,21 @@ def fact_orders(items: DataFrame, orders: DataFrame, customers: DataFrame,
         "order_id", F.col("total_payment_value").alias("payment_value"))
     rev = order_reviews_agg(reviews).select(
         "order_id", F.col("review_score").cast("int").alias("review_score"))
+    # The customer key is resolved at order grain (orders → customers →
+    # dim_customers, both unique on their keys, so no fan-out); item rows are
+    # then shuffled once, by order_id, together with the per-order aggregates.
     o = delivery_columns(orders).select(
         "order_id", "customer_id", "order_status", "purchase_date", "delivered_date",
         "estimated_date", "days_to_deliver", "days_estimated", "delivery_delay_days")
+    o = (o.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+         .join(dim_cust.select("customer_unique_id", "customer_key"), "customer_unique_id")
+         .drop("customer_id", "customer_unique_id"))
     by_order = (items.select("order_id", "order_item_id", "product_id", "seller_id",
                              "price", "freight_value")
                 .join(o, "order_id")
                 .join(pay, "order_id", "left")
                 .join(rev, "order_id", "left"))
-    with_cust = (by_order.join(customers.select("customer_id", "customer_unique_id"),
-                               "customer_id")
-                 .join(dim_cust.select("customer_unique_id", "customer_key"),
-                       "customer_unique_id"))
-    keyed = (lookup_key(with_cust, dim_prod, "product_id", "product_key")
+    keyed = (lookup_key(by_order, dim_prod, "product_id", "product_key")
              .join(dim_sell.select("seller_id", "seller_key"), "seller_id"))
     return keyed.select(
         "order_id", "order_item_id", "customer_key", "product_key", "seller_key",
