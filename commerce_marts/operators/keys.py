@@ -16,8 +16,9 @@ in one task.  ``surrogate_key`` produces the identical numbering distributed:
 4. count rows per bucket (``n`` rows), turn them into prefix offsets on that
    bounded frame and broadcast it back: key = offset + position + 1.
 
-Only the ``n``-row offsets table is broadcast; its size is the bucket count,
-not the data size.  The natural key must be unique (checked by the callers'
+``n`` is ``num_buckets`` when given, else the shuffle partition count as
+coalesced by AQE.  Only the ``n``-row offsets table is broadcast; its size is
+the bucket count, not the data size.  The natural key must be unique (checked by the callers'
 quality tests).
 """
 
@@ -38,10 +39,14 @@ def surrogate_key(df: DataFrame, by: str | Sequence[str], key_name: str,
     """Add ``key_name`` = dense 1-based rank of the unique key ``by``."""
     spark = df.sparkSession
     by = [by] if isinstance(by, str) else list(by)
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in by]
     path = scratch_path(spark, f"surrogate-{key_name}")
-    (df.repartitionByRange(max(n, 1), *order)
+    # Without an explicit count AQE may coalesce *adjacent* range partitions to
+    # its target size; partition indexes stay monotone in the key, so the
+    # prefix offsets remain exact and the bucket count follows the data size.
+    ranged = (df.repartitionByRange(num_buckets, *order) if num_buckets
+              else df.repartitionByRange(*order))
+    (ranged
      .sortWithinPartitions(*order)
      .withColumn("_sk_tag", F.monotonically_increasing_id())
      .write.parquet(path))

@@ -137,6 +137,12 @@ def test_surrogate_key_matches_global_row_number(spark):
         tuple(r) for r in expected.select("sk", "k").collect())
 
 
+def test_surrogate_key_default_buckets(spark):
+    df = spark.createDataFrame([(f"k{i:04d}",) for i in range(997)], "k string").repartition(3)
+    got = [r.sk for r in surrogate_key(df, "k", "sk").orderBy("k").collect()]
+    assert got == list(range(1, 998))
+
+
 def test_surrogate_key_empty_input(spark):
     df = spark.createDataFrame([], "k string")
     assert surrogate_key(df, "k", "sk").count() == 0
