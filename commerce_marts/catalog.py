@@ -26,18 +26,24 @@ from commerce_marts.sources.schemas import SOURCES
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> Layers:
+def _layers(spark: SparkSession, sf_dir: str, shared: bool = False) -> Layers:
     ensure_checkpoint_dir(spark)
-    return Layers.from_driver(spark, sf_dir)
+    return Layers.from_driver(spark, sf_dir, materialize_shared=shared)
 
 
-def _q(fn: Callable[[Layers], DataFrame]) -> Query:
+def _q(fn: Callable[[Layers], DataFrame], shared: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(_layers(spark, sf_dir))
+        return fn(_layers(spark, sf_dir, shared))
     run.__doc__ = fn.__doc__
     return run
 
 
+def _qw(fn: Callable[[Layers], DataFrame]) -> Query:
+    """A query over the fact: the staging tables that the dimensions and the
+    fact both read are written once and shared (see ``Layers``)."""
+    return _q(fn, shared=True)
+
+
 # --- cleaning ---------------------------------------------------------------
 
 def src_orders_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,8 +152,8 @@ QUERIES: dict[str, Query] = {
     "dim_customers": _q(lambda p: p.dim_customers),
     "dim_products": _q(lambda p: p.dim_products),
     "dim_sellers": _q(lambda p: p.dim_sellers),
-    "fact_orders": _q(lambda p: p.fact_orders),
-    "conform_fact": _q(lambda p: W.conform_fact(p.fact_orders)),
+    "fact_orders": _qw(lambda p: p.fact_orders),
+    "conform_fact": _qw(lambda p: W.conform_fact(p.fact_orders)),
     # marts
     "int_orders_items_joined": _q(lambda p: p.int_orders_items_joined),
     "int_products_enriched": _q(lambda p: p.int_products_enriched),
@@ -155,27 +161,27 @@ QUERIES: dict[str, Query] = {
     "mart_product_performance": _q(lambda p: p.mart_product_performance),
     "mart_delivery_kpis": _q(lambda p: p.mart_delivery_kpis),
     # reports
-    "revenue_by_state": _q(lambda p: R.revenue_by_state(p.fact_orders, p.dim_customers)),
-    "revenue_over_time": _q(lambda p: R.revenue_over_time(p.fact_orders, p.dim_date)),
-    "top_categories": _q(lambda p: R.top_categories(p.fact_orders, p.dim_products)),
-    "delivery_vs_satisfaction": _q(
+    "revenue_by_state": _qw(lambda p: R.revenue_by_state(p.fact_orders, p.dim_customers)),
+    "revenue_over_time": _qw(lambda p: R.revenue_over_time(p.fact_orders, p.dim_date)),
+    "top_categories": _qw(lambda p: R.top_categories(p.fact_orders, p.dim_products)),
+    "delivery_vs_satisfaction": _qw(
         lambda p: R.delivery_vs_satisfaction(p.fact_orders, p.dim_customers)),
-    "delivery_satisfaction_trend": _q(_trend),
-    "orders_by_weekday": _q(lambda p: R.orders_by_weekday(p.fact_orders, p.dim_date)),
-    "price_bands": _q(lambda p: R.price_bands(p.fact_orders, p.dim_products)),
+    "delivery_satisfaction_trend": _qw(_trend),
+    "orders_by_weekday": _qw(lambda p: R.orders_by_weekday(p.fact_orders, p.dim_date)),
+    "price_bands": _qw(lambda p: R.price_bands(p.fact_orders, p.dim_products)),
     "payment_types": _q(lambda p: R.payment_types(p.staging["order_payments"])),
     "review_distribution": _q(lambda p: R.review_distribution(p.staging["order_reviews"])),
     "review_avg_score": _q(lambda p: R.review_avg_score(
         R.review_distribution(p.staging["order_reviews"]))),
-    "executive_summary": _q(lambda p: R.executive_summary(
+    "executive_summary": _qw(lambda p: R.executive_summary(
         p.fact_orders, p.dim_customers, p.dim_products, p.dim_sellers)),
-    "verify_revenue_by_state": _q(
+    "verify_revenue_by_state": _qw(
         lambda p: R.verify_revenue_by_state(p.fact_orders, p.dim_customers)),
-    "delivery_metrics": _q(lambda p: R.delivery_metrics(p.fact_orders)),
+    "delivery_metrics": _qw(lambda p: R.delivery_metrics(p.fact_orders)),
     "orders_customers_check": _q(lambda p: R.orders_customers_check(
         p.staging["orders"], p.staging["customers"])),
     "latest_orders": _q(lambda p: R.latest_orders(p.staging["orders"])),
-    "revenue_share_by_state": _q(
+    "revenue_share_by_state": _qw(
         lambda p: R.revenue_share_by_state(p.fact_orders, p.dim_customers)),
     "payment_share": _q(lambda p: R.payment_share(p.staging["order_payments"])),
     "dashboard_measures": _q(lambda p: R.dashboard_measures(
@@ -183,7 +189,7 @@ QUERIES: dict[str, Query] = {
     "delivery_heatmap": _q(lambda p: R.delivery_heatmap(p.mart_delivery_kpis)),
     "on_time_by_state": _q(lambda p: R.on_time_by_state(
         p.int_orders_items_joined, p.views["stg_customers"])),
-    "price_vs_review": _q(lambda p: R.price_vs_review(
+    "price_vs_review": _qw(lambda p: R.price_vs_review(
         p.mart_product_performance, R.top_categories(p.fact_orders, p.dim_products, 10))),
     # quality
     "profile_summary": _q(lambda p: PQ.profile_summary(p.raw)),
@@ -193,10 +199,10 @@ QUERIES: dict[str, Query] = {
         p.raw["order_items"], SOURCES["order_items"].pk)),
     "profile_numeric": _q(lambda p: PQ.profile_numeric(p.raw)),
     "profile_cardinality": _q(lambda p: PQ.profile_cardinality(p.raw)),
-    "dq_results": _q(PQ.dq_results),
+    "dq_results": _qw(PQ.dq_results),
     "dq_accepted_values": _q(PQ.dq_accepted_values),
-    "fk_orphans": _q(PQ.fk_orphans),
-    "table_counts": _q(PQ.table_counts),
+    "fk_orphans": _qw(PQ.fk_orphans),
+    "table_counts": _qw(PQ.table_counts),
     "export_roundtrip": export_roundtrip,
     "warehouse_build": warehouse_build,
     "manifest_check": manifest,

@@ -28,27 +28,47 @@ DRIVER_BAND_CUTS = (47000.0, 52500.0, 58000.0)
 class Layers:
     def __init__(self, raw: Mapping[str, DataFrame],
                  band_cuts: Sequence[float] = DEFAULT_BAND_CUTS,
-                 staging: Mapping[str, DataFrame] | None = None):
+                 staging: Mapping[str, DataFrame] | None = None,
+                 materialize_shared: bool = False):
         """``staging`` — already deduplicated and cleaned tables (e.g. read back
         from written staging tables); when given, they replace the derivation
         from ``raw``."""
         self.raw = raw
         self.band_cuts = tuple(band_cuts)
+        self.materialize_shared = materialize_shared
         if staging is not None:
             self.__dict__["staging"] = staging
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str,
                     band_cuts: Sequence[float] = DRIVER_BAND_CUTS,
-                    corrupt_dates: bool = False) -> Layers:
-        return cls(raw_sources(spark, sf_dir, corrupt_dates), band_cuts)
+                    corrupt_dates: bool = False, materialize_shared: bool = False) -> Layers:
+        return cls(raw_sources(spark, sf_dir, corrupt_dates), band_cuts,
+                   materialize_shared=materialize_shared)
 
     # staging ---------------------------------------------------------------
+    #: staging tables read by several warehouse jobs (dimensions and fact)
+    SHARED_STAGING = ("order_items", "orders", "customers")
+
     @cached_property
     def staging(self) -> Mapping[str, DataFrame]:
-        """Deduplicated and cleaned sources, each defined on first use."""
-        return LazySources({n: (lambda n=n: S.stage_source(n, self.raw[n]))
-                            for n in self.raw})
+        """Deduplicated and cleaned sources, each defined on first use.
+
+        With ``materialize_shared`` the tables that several warehouse jobs read
+        are written once as parquet under the checkpoint folder and re-read, so
+        their dedup runs once rather than once per consuming job.
+        """
+        def build(n):
+            df = S.stage_source(n, self.raw[n])
+            if self.materialize_shared and n in self.SHARED_STAGING:
+                from commerce_marts.session import scratch_path
+                from commerce_marts.sources.io import write_table
+
+                spark = df.sparkSession
+                df = spark.read.parquet(write_table(df, scratch_path(spark, f"staging-{n}")))
+            return df
+
+        return LazySources({n: (lambda n=n: build(n)) for n in self.raw})
 
     @cached_property
     def views(self) -> Mapping[str, DataFrame]:
