@@ -3,7 +3,7 @@
 A ``Layers`` holds DataFrame definitions only; each layer is built on first
 use and the same DataFrame object is reused by every consumer, so one query
 plan that touches a layer twice lets Spark reuse the exchange.  Surrogate-key
-dimensions checkpoint when first built (see ``operators.keys``).
+dimensions write their key tags once, when first built (see ``operators.keys``).
 """
 
 from __future__ import annotations

@@ -29,22 +29,6 @@ DRIVER_TABLES = ("orders", "lineitem", "customer", "part", "supplier", "nation",
 _READS: dict[tuple[int, str], DataFrame] = {}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one split per core.
-
-    A source that arrives as one unsplittable unit (a single row group, a
-    multi-line CSV, a gzip file) is read by one task, and every per-row step
-    up to the first shuffle then runs in that task.  Only in that case the
-    rows are dealt round-robin over the default parallelism; a scan that
-    already has enough splits — the normal case for large tables — is
-    returned untouched, so no extra exchange is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
-        return df.repartition(cores)
-    return df
-
-
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (memoized per session and path; reads are lazy)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
