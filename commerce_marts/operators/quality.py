@@ -174,6 +174,36 @@ def check_unique(df: DataFrame, model: str, column: str | Sequence[str]) -> Data
     return _result(c, model, ",".join(cols), "unique")
 
 
+def check_not_null_and_unique(df: DataFrame, model: str, required: Sequence[str],
+                              key: Sequence[str]) -> DataFrame:
+    """NOT NULL for ``required`` and uniqueness of ``key`` in one pass.
+
+    The key aggregation (which the uniqueness test needs anyway) carries the
+    per-group NULL counts as partial sums, so the table is scanned once.
+    Rows are identical to ``check_not_null_many`` + ``check_unique``.
+    """
+    key = list(key)
+    others = [c for c in required if c not in key]
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_c"),
+        *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in others])
+    present = F.col(key[0]).isNotNull()
+    for c in key[1:]:
+        present = present & F.col(c).isNotNull()
+    null_counts = {c: F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_c"))), F.lit(0))
+                   for c in required if c in key}
+    null_counts.update({c: F.coalesce(F.sum(c), F.lit(0)) for c in others})
+    wide = per_key.agg(
+        F.count(F.when(present & (F.col("_c") > 1), F.lit(1))).alias("_dup"),
+        *[null_counts[c].alias(c) for c in required])
+    nn = wide.unpivot([], list(required), "column_name", "failures").select(
+        F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
+        F.col("failures").cast("long").alias("failures"))
+    un = wide.select(F.lit(model).alias("model"), F.lit(",".join(key)).alias("column_name"),
+                     F.lit("unique").alias("test"), F.col("_dup").cast("long").alias("failures"))
+    return nn.unionByName(un)
+
+
 def check_accepted_values(df: DataFrame, model: str, column: str,
                           values: Sequence[str]) -> DataFrame:
     c = (df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))

@@ -43,8 +43,7 @@ def check_constraints(spark: SparkSession, written: dict[str, tuple[str, str]])
             continue
         df = spark.read.parquet(path)
         required = [f.name for f in WAREHOUSE_SCHEMAS[name].fields if not f.nullable]
-        checks += [Q.check_not_null_many(df, name, required),
-                   Q.check_unique(df, name, list(WAREHOUSE_KEYS[name]))]
+        checks.append(Q.check_not_null_and_unique(df, name, required, WAREHOUSE_KEYS[name]))
     failed = Q.run_checks(checks).where(F.col("failures") > 0).collect()
     if failed:
         detail = "; ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed)

@@ -108,8 +108,7 @@ def warehouse_constraints(p: Layers) -> list[DataFrame]:
     for name, df in p.warehouse().items():
         schema = WAREHOUSE_SCHEMAS[name]
         required = [f.name for f in schema.fields if not f.nullable]
-        out.append(Q.check_not_null_many(df, name, required))
-        out.append(Q.check_unique(df, name, list(WAREHOUSE_KEYS[name])))
+        out.append(Q.check_not_null_and_unique(df, name, required, WAREHOUSE_KEYS[name]))
     return out
 
 

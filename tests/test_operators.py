@@ -189,6 +189,16 @@ def test_quality_checks(spark):
     assert nulls == {"id": 1, "v": 1}
 
 
+def test_single_pass_constraints_match_separate_checks(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 1, None), ("a", 2, "y"), (None, 3, "z"), (None, 3, None),
+         ("b", None, "w")], "k1 string, k2 int, v string")
+    one = Q.check_not_null_and_unique(df, "m", ["k1", "k2", "v"], ["k1", "k2"])
+    two = Q.check_not_null_many(df, "m", ["k1", "k2", "v"]).unionByName(
+        Q.check_unique(df, "m", ["k1", "k2"]))
+    assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in two.collect())
+
+
 def test_profiles_on_empty_input(spark):
     df = spark.createDataFrame([], "id string, x double")
     assert Q.profile_table(df, "t", ["id"]).first().n_rows == 0
