@@ -76,21 +76,21 @@ def model_tests(p: Layers) -> list[DataFrame]:
     v = p.views
     oij, pe = p.int_orders_items_joined, p.int_products_enriched
     return [
-        Q.check_not_null_many(v["stg_orders"], "stg_orders", ["order_id", "order_status"]),
-        Q.check_unique(v["stg_orders"], "stg_orders", "order_id"),
+        Q.check_not_null_and_unique(v["stg_orders"], "stg_orders",
+                                    ["order_id", "order_status"], ["order_id"]),
         Q.check_accepted_values(v["stg_orders"], "stg_orders", "order_status", ORDER_STATUSES),
-        Q.check_not_null_many(v["stg_customers"], "stg_customers", ["customer_id"]),
-        Q.check_unique(v["stg_customers"], "stg_customers", "customer_id"),
+        Q.check_not_null_and_unique(v["stg_customers"], "stg_customers", ["customer_id"],
+                                    ["customer_id"]),
         Q.check_not_null_many(v["stg_order_items"], "stg_order_items",
                               ["order_id", "order_item_id"]),
-        Q.check_not_null_many(v["stg_products"], "stg_products", ["product_id"]),
-        Q.check_unique(v["stg_products"], "stg_products", "product_id"),
-        Q.check_not_null_many(v["stg_sellers"], "stg_sellers", ["seller_id"]),
-        Q.check_unique(v["stg_sellers"], "stg_sellers", "seller_id"),
+        Q.check_not_null_and_unique(v["stg_products"], "stg_products", ["product_id"],
+                                    ["product_id"]),
+        Q.check_not_null_and_unique(v["stg_sellers"], "stg_sellers", ["seller_id"],
+                                    ["seller_id"]),
         Q.check_not_null_many(oij, "int_orders_items_joined",
                               ["order_id", "order_item_id", "price"]),
-        Q.check_not_null_many(pe, "int_products_enriched", ["product_id"]),
-        Q.check_unique(pe, "int_products_enriched", "product_id"),
+        Q.check_not_null_and_unique(pe, "int_products_enriched", ["product_id"],
+                                    ["product_id"]),
         Q.check_accepted_values(pe, "int_products_enriched", "price_band", PRICE_BANDS),
         Q.check_not_null_many(p.mart_sales_by_region, "mart_sales_by_region",
                               ["customer_state", "total_revenue"]),
