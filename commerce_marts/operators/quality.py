@@ -37,17 +37,31 @@ def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 def profile_table(df: DataFrame, table: str, pk: Sequence[str] = ()) -> DataFrame:
     """One row: table, n_rows, n_columns, total_nulls, has_duplicate_pk."""
-    nulls = [F.sum(F.col(c).isNull().cast("long")) for c in df.columns]
-    total_nulls = nulls[0]
-    for n in nulls[1:]:
-        total_nulls = total_nulls + n
-    base = df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.coalesce(total_nulls, F.lit(0)).cast("long").alias("total_nulls"))
     if pk:
-        has_dup = duplicate_key_rows(df, pk).select(F.col("duplicated_rows") > 0).scalar()
-        base = base.withColumn("has_duplicate_pk", has_dup)
+        # one pass: the key aggregation needed for the duplicate flag carries
+        # the per-group NULL counts of the other columns as partial sums
+        pk = list(pk)
+        others = [c for c in df.columns if c not in pk]
+        per_key = df.groupBy(*pk).agg(
+            F.count(F.lit(1)).alias("_c"),
+            *[F.sum(F.col(c).isNull().cast("long")).alias(f"_n{i}")
+              for i, c in enumerate(others)])
+        parts = [F.sum(F.when(F.col(c).isNull(), F.col("_c"))) for c in pk]
+        parts += [F.sum(f"_n{i}") for i in range(len(others))]
+        total = sum((F.coalesce(x, F.lit(0)) for x in parts[1:]),
+                    F.coalesce(parts[0], F.lit(0)))
+        base = per_key.agg(
+            F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("n_rows"),
+            total.cast("long").alias("total_nulls"),
+            (F.coalesce(F.max("_c"), F.lit(0)) > 1).alias("has_duplicate_pk"))
     else:
-        base = base.withColumn("has_duplicate_pk", F.lit(None).cast("boolean"))
+        nulls = [F.sum(F.col(c).isNull().cast("long")) for c in df.columns]
+        total_nulls = nulls[0]
+        for n in nulls[1:]:
+            total_nulls = total_nulls + n
+        base = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                      F.coalesce(total_nulls, F.lit(0)).cast("long").alias("total_nulls"),
+                      F.lit(None).cast("boolean").alias("has_duplicate_pk"))
     return base.select(F.lit(table).alias("table_name"), "n_rows",
                        F.lit(len(df.columns)).alias("n_columns"), "total_nulls",
                        "has_duplicate_pk")
