@@ -114,17 +114,38 @@ def mart_sales_by_region(oij: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def mart_product_performance(oij: DataFrame, products_enriched: DataFrame) -> DataFrame:
+    """Sales KPIs per English category and price band.
+
+    A product determines its category and band, so items are first combined
+    per product (distinct products = rows of that result, sums and counts
+    carried exactly); distinct orders per group are a separate single-distinct
+    aggregate.  Both results have one row per (category, band) and are
+    joined — no three-fold ``Expand`` of the item rows for two distincts.
+    """
+    groups = ["category_en", "price_band"]
     j = oij.join(products_enriched.select("product_id", "category_en", "price_band",
                                           "product_weight_g"), "product_id")
-    return j.groupBy("category_en", "price_band").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count(F.lit(1)).alias("total_items_sold"),
-        F.count_distinct("product_id").alias("unique_products"),
-        round_half_up(cents_sum("price"), 2).alias("total_revenue"),
-        round_half_up(cents_mean("price"), 2).alias("avg_item_price"),
-        round_half_up(cents_sum("freight_value"), 2).alias("total_freight"),
-        round_half_up(F.avg("review_score"), 2).alias("avg_review_score"),
-        round_half_up(F.avg("product_weight_g"), 0).alias("avg_weight_g"))
+    per_product = j.groupBy(*groups, "product_id").agg(
+        F.count(F.lit(1)).alias("_items"),
+        F.sum(cents("price")).alias("_price_c"), F.count("price").alias("_price_n"),
+        F.sum(cents("freight_value")).alias("_freight_c"),
+        F.sum("review_score").alias("_rev_s"), F.count("review_score").alias("_rev_n"),
+        F.sum("product_weight_g").alias("_w_s"), F.count("product_weight_g").alias("_w_n"))
+    revenue = F.sum("_price_c").cast("double") / F.lit(100.0)
+    sums = per_product.groupBy(*groups).agg(
+        F.sum("_items").alias("total_items_sold"),
+        F.count(F.lit(1)).alias("unique_products"),
+        round_half_up(revenue, 2).alias("total_revenue"),
+        round_half_up(F.when(F.sum("_price_n") > 0, revenue / F.sum("_price_n")), 2)
+        .alias("avg_item_price"),
+        round_half_up(F.sum("_freight_c").cast("double") / F.lit(100.0), 2)
+        .alias("total_freight"),
+        round_half_up(_ratio("_rev_s", "_rev_n"), 2).alias("avg_review_score"),
+        round_half_up(_ratio("_w_s", "_w_n"), 0).alias("avg_weight_g"))
+    orders = j.groupBy(*groups).agg(F.count_distinct("order_id").alias("total_orders"))
+    return sums.join(orders, groups).select(
+        "category_en", "price_band", "total_orders", "total_items_sold", "unique_products",
+        "total_revenue", "avg_item_price", "total_freight", "avg_review_score", "avg_weight_g")
 
 
 def mart_delivery_kpis(oij: DataFrame, customers: DataFrame) -> DataFrame:

@@ -47,6 +47,12 @@ def test_sales_mart_avoids_distinct_expand(layers):
     assert "Expand" not in plan
 
 
+def test_product_mart_avoids_distinct_expand(layers):
+    plan = _plan(M.mart_product_performance(layers.int_orders_items_joined,
+                                            layers.int_products_enriched))
+    assert "Expand" not in plan
+
+
 def test_sales_mart_drops_unused_payment_mode(layers):
     plan = _plan(layers.mart_sales_by_region)
     assert "payment_type" not in plan
