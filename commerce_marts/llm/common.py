@@ -85,6 +85,13 @@ def key_to_id(key="id"):
     return F.when(F.col(key) != NO_ID, F.col(key))
 
 
+def range_bounds(df: DataFrame, column: str, n: int) -> np.ndarray:
+    """At most n - 1 values that cut a long column into ranges of about equal size;
+    ``np.searchsorted(bounds, x, "right")`` is the range of x."""
+    cuts = df.approxQuantile(column, [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    return np.unique(np.array([min(int(x), NO_ID) for x in cuts], np.int64))
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text",
                 max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch with about ``max_bytes`` of text each."""
@@ -133,15 +140,29 @@ def inverse(x: int) -> int:
     return pow(int(x), -1, 1 << 64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base^1 .. base^n mod 2^64; kept up to a slice's length."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        with np.errstate(over="ignore"):
+            have = np.cumprod(np.full(n, np.uint64(base), np.uint64))
+        if n <= 1 << 23:
+            _POWERS[base] = have
+    return have[:n]
+
+
 def rolling(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of ``n`` consecutive entries of ``h`` (polynomial mod 2^64,
     then mixed); length ``len(h) - n + 1`` or 0."""
     if len(h) < n:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(len(h), BASE, np.uint64))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power, dtype=np.uint64)])
-        back = np.cumprod(np.full(len(h) - n + 1, np.uint64(inverse(int(BASE))), np.uint64))
+        total = np.concatenate([np.zeros(1, np.uint64),
+                                np.cumsum(h * powers(int(BASE), len(h)), dtype=np.uint64)])
+        back = powers(inverse(int(BASE)), len(h) - n + 1)
         return mixed((total[n:] - total[:-n]) * back)
 
 

@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commerce_marts.llm import packing
+from commerce_marts.llm import mixing, packing, warc, winnowing
 from commerce_marts.llm.common import table
 
 
@@ -24,5 +24,18 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_budget_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)

@@ -15,7 +15,25 @@ def _shipped(query):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
+    q.op3_budget_mixing,
     q.op7_best_fit_packing,
+    q.op8_winnowing_fingerprints,
+    q.op9_warc_boundary_chain,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+#: Base32 of a SHA-1 in hex: five hex digits are twenty bits are four digits.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"1 + ((('0x' || substr(h, {5 * g + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
+    for g in range(8) for s in (15, 10, 5, 0))
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_warc_boundary_chain": f"""
+        with p as (select page_id, coalesce(html, '') as html from pages),
+        d as (select page_id, strlen(html)::BIGINT as payload_bytes, sha1(html) as h from p),
+        b as (select page_id, payload_bytes, {_BASE32} as payload_digest,
+                     max(page_id) over (partition by h) as last from d)
+        select page_id, payload_bytes, payload_digest,
+               case when page_id = last then 'response' else 'revisit' end as record_type,
+               case when page_id = last then null else last end as refers_to from b""",
+}
