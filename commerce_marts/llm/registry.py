@@ -16,6 +16,7 @@ def _shipped(query):
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     q.op3_budget_mixing,
+    q.op6_block_max_topk,
     q.op7_best_fit_packing,
     q.op8_winnowing_fingerprints,
     q.op9_warc_boundary_chain,
@@ -28,6 +29,18 @@ _BASE32 = " || ".join(
     for g in range(8) for s in (15, 10, 5, 0))
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_block_max_topk": """
+        with v as (select vec_id, list_transform(embedding,
+                       lambda x: floor(1024 * x::DOUBLE)::BIGINT) as e from embeddings
+                   where vec_id is not null and embedding is not null
+                     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select q.vec_id as query_id, c.vec_id,
+                     list_sum(list_transform(list_zip(q.e, c.e),
+                              lambda z: coalesce(z[1] * z[2], 0)))::BIGINT as score
+              from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+        r as (select *, row_number() over (partition by query_id
+                     order by score desc, vec_id)::INT as rank from s)
+        select query_id, rank, vec_id, score from r where rank <= 10""",
     "op9_warc_boundary_chain": f"""
         with p as (select page_id, coalesce(html, '') as html from pages),
         d as (select page_id, strlen(html)::BIGINT as payload_bytes, sha1(html) as h from p),
