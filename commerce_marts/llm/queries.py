@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from commerce_marts.llm import mixing, packing, topk, toxicity, warc, winnowing
+from commerce_marts.llm import mixing, ngram_join, packing, topk, toxicity, warc, winnowing
 from commerce_marts.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op3_budget_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
+
+
 def op5_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
