@@ -191,3 +191,27 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float =
             .select("doc_id", "source", "_h", "size", "source_size", "target",
                     copies.alias("copies"))
             .withColumn("taken", F.col("copies") * F.col("size")))
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
+                    max_repeat: float = MAX_REPEAT, share: float = 1.0,
+                    seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, each as many times as the mix takes it.  Documents without
+    words cost nothing and stay once.  Rows equal in doc_id, source and text pool their
+    copies: the first ones by a hash of the row get one more."""
+    taken = mix(docs, weights, max_repeat, share, seed)
+    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_id"), source_key(),
+           F.col("_h")]
+    pooled = taken.select(*key, "copies", "size").groupBy("_id", "_s", "_h").agg(
+        F.sum(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias("_copies"),
+        F.count("*").alias("_rows"))
+    keyed = docs.withColumn("_h", F.xxhash64("text")).select(
+        *(f"`{c}`" for c in docs.columns), *key)
+    joined = keyed.join(pooled, ["_id", "_s", "_h"])
+    one = F.expr("_copies div _rows")
+    rank = F.row_number().over(Window.partitionBy("_id", "_s", "_h").orderBy("doc_id"))
+    times = F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(
+        one + (F.col("_rank") <= F.col("_copies") % F.col("_rows")).cast("long"))
+    return (joined.withColumn("_rank", rank).withColumn("_times", times).where("_times > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
+            .select(*(f"`{c}`" for c in docs.columns)))

@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from commerce_marts.llm import mixing, ngram_join, packing, topk, toxicity, warc, winnowing
+from commerce_marts.llm import mixing, ngram_join, packing, surrogates, topk, toxicity, warc, winnowing
 from commerce_marts.llm.common import table
 
 
@@ -29,6 +30,15 @@ def op3_budget_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = surrogates.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       F.size("_entities").alias("n_entities"),
+                       F.transform("_entities", lambda e: e["kind"]).alias("kinds"),
+                       F.transform("_entities", lambda e: e["start"]).alias("starts"),
+                       F.transform("_entities", lambda e: e["surrogate"]).alias("surrogates"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
 

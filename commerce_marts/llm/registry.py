@@ -16,6 +16,7 @@ def _shipped(query):
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     q.op3_budget_mixing,
+    q.op1_pii_surrogates,
     q.op4_ngram_jaccard_join,
     q.op5_string_kernel_toxicity,
     q.op6_block_max_topk,

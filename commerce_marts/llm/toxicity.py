@@ -175,12 +175,12 @@ def margins(docs: DataFrame, model, columns: list[str]) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*model.value)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, "_text"):
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in columns), pa.array(scorer.texts(part.column("text")))],
+                    [*(part.column(c) for c in columns), pa.array(scorer.texts(part.column("_text")))],
                     names=[*columns, "margin"])
 
-    return docs.select(*columns, F.col("text").cast("string")).mapInArrow(
+    return docs.select(*columns, F.col("text").cast("string").alias("_text")).mapInArrow(
         score, f"{fields}, margin double")
 
 
@@ -331,3 +331,15 @@ def score(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataF
             1 / (1 + F.exp(-(F.lit(slope) * F.col("margin") + F.lit(offset))))).alias("score"))
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def clean(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """The rows of ``docs`` whose score is below the threshold, with their columns."""
+    model = fit(docs, labels, max_docs)
+    if isinstance(model, float):
+        return docs if model < THRESHOLD else docs.limit(0)
+    *parts, slope, offset = model
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
+    scored = margins(docs, shared, docs.columns)
+    score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("margin") + F.lit(offset))))
+    return scored.where(score < THRESHOLD).select(*(f"`{c}`" for c in docs.columns))
