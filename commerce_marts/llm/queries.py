@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_marts.llm import mixing, ngram_join, packing, surrogates, topk, toxicity, warc, winnowing
+from commerce_marts.llm import mixing, ngram_join, packing, substring_dedup, surrogates, topk, toxicity, warc, winnowing
 from commerce_marts.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.transform("_entities", lambda e: e["surrogate"]).alias("surrogates"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
 

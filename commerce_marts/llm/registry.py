@@ -15,6 +15,7 @@ def _shipped(query):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
+    q.op2_substring_dedup,
     q.op3_budget_mixing,
     q.op1_pii_surrogates,
     q.op4_ngram_jaccard_join,
