@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_marts.llm import mixing, ngram_join, packing, substring_dedup, surrogates, topk, toxicity, warc, winnowing
+from commerce_marts.llm import katz, mixing, ngram_join, packing, substring_dedup, surrogates, topk, toxicity, warc, winnowing
 from commerce_marts.llm.common import table
 
 
@@ -66,3 +66,7 @@ def op8_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))

@@ -24,6 +24,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     q.op7_best_fit_packing,
     q.op8_winnowing_fingerprints,
     q.op9_warc_boundary_chain,
+    q.op10_katz_backoff,
 )}
 
 #: Base32 of a SHA-1 in hex: five hex digits are twenty bits are four digits.
