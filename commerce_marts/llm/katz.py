@@ -37,7 +37,7 @@ MAX_R = 5
 ADD = 0.1
 END, START = np.uint64(1), np.uint64(2)
 #: Bytes of text of a chunk, and distinct pairs that a bucket of pairs should hold.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_PAIRS = 2_000_000
 
 
@@ -75,12 +75,19 @@ def chunks(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows as Arrow scalars, which copy nothing."""
+    for k in range(batch.num_rows):
+        yield {n: batch.column(n)[k] for n in batch.schema.names}
+
+
 class _Chunk:
     def __init__(self, row: dict):
-        self.vocab = np.frombuffer(row["vocab"], np.uint64)
-        self.ids = np.frombuffer(row["ids"], np.uint32).astype(np.int64)
-        self.lengths = np.frombuffer(row["lengths"], np.int64)
-        self.train = np.repeat(np.array(row["train"], bool), self.lengths)
+        self.vocab, self.ids, self.lengths = (
+            np.frombuffer(row[n].as_buffer(), t)
+            for n, t in (("vocab", np.uint64), ("ids", np.uint32), ("lengths", np.int64)))
+        self.ids = self.ids.astype(np.int64)
+        self.train = np.repeat(row["train"].values.to_numpy(zero_copy_only=False), self.lengths)
 
     def histories(self) -> np.ndarray:
         """Place of the token before each; the start of a document comes after the vocabulary."""
@@ -110,12 +117,12 @@ def word_requests(encoded: DataFrame) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 c = _Chunk(row)
                 n = np.bincount(c.ids, c.train, minlength=len(c.vocab)).astype(np.int64)
                 word = np.append(c.vocab, START)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(word), row["chunk"])), pa.array(signed(word)),
+                    [pa.array(np.full(len(word), row["chunk"].as_py())), pa.array(signed(word)),
                      pa.array(np.append(n, 0))], names=["chunk", "word", "n"])
 
     return encoded.mapInArrow(ask, "chunk long, word long, n long")
@@ -128,14 +135,14 @@ def pair_counts(encoded: DataFrame, n_tokens: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 key, _, _, n, _ = _Chunk(row).pairs()
                 of = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 cut = np.searchsorted(of, np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(cut))
                 parts = [(key[cut[b]:cut[b + 1]], n[cut[b]:cut[b + 1]]) for b in full]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), row["chunk"])),
+                    [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), row["chunk"].as_py())),
                      pa.array([k.tobytes() for k, _ in parts], pa.binary()),
                      pa.array([x.astype(np.uint32).tobytes() for _, x in parts], pa.binary())],
                     names=["bucket", "chunk", "keys", "n"])
@@ -185,13 +192,14 @@ def _joined(encoded: DataFrame, counts: DataFrame, answers: DataFrame) -> DataFr
 
 
 def _lookup(row: dict, names: list[str]):
-    words_ = np.array([x["word"] for x in row["known"]], np.int64).view(np.uint64)
+    known, found = row["known"].values, row["found"].values
+    words_ = known.field("word").to_numpy().view(np.uint64)
     order = np.argsort(words_)
     chunk = _Chunk(row)
     at = order[np.searchsorted(words_[order], np.append(chunk.vocab, START))]
-    values = [np.array([x[n] for x in row["known"]], float)[at] for n in names]
-    counts = np.concatenate([np.frombuffer(x["counts"], np.int64) for x in row["found"]])
-    owner = np.concatenate([np.frombuffer(x["owner"], bool) for x in row["found"]])
+    values = [known.field(n).to_numpy().astype(float)[at] for n in names]
+    counts, owner = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in found.field(n)])
+                     for n, t in (("counts", np.int64), ("owner", bool)))
     return chunk, values, counts, owner
 
 
@@ -211,7 +219,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 chunk, (c,), pairs, owner = _lookup(row, ["c"])
                 _, h, w, _, _ = chunk.pairs()
                 some = owner & (pairs > 0)
@@ -239,7 +247,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 chunk, (c, c_h, scale, alpha), pairs, _ = _lookup(row, ["c", "c_h", "scale", "alpha"])
                 _, h, w, _, place = chunk.pairs()
                 base = np.log10((c + ADD) / denominator)
@@ -248,7 +256,7 @@ def score(docs: DataFrame) -> DataFrame:
                 log[seen] = np.log10(scale[h[seen]] * _discounted(pairs[seen], d) / c_h[h[seen]])
                 starts = np.cumsum(chunk.lengths) - chunk.lengths
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_id"], pa.int64()), pa.array(chunk.lengths),
+                    [row["doc_id"].values, pa.array(chunk.lengths),
                      pa.array(np.add.reduceat((c[chunk.ids] > 0).astype(np.int64), starts)),
                      pa.array(np.add.reduceat(base[chunk.ids], starts)),
                      pa.array(np.add.reduceat(log[place], starts))],
