@@ -1,11 +1,12 @@
 """Similarity join on word n-gram sets by MinHash banding.
 
 Equal texts form one class first; only one row of a class goes on.  Band and row
-counts follow from the target recall at the threshold.  Rows are shuffled on band
-hashes; buckets of one member go, and so do buckets whose members are those of
-another bucket.  Members of a bucket are compared in blocks of ``BLOCK`` rows
-(a larger bucket becomes pairs of blocks), on their full n-gram sets, as products
-of incidence matrices.  A pair counts in the first bucket that it shares, so no
+counts follow from the target recall at the threshold.  Band hashes are
+shuffled; buckets of one member go, and so do buckets whose members are those of
+another bucket.  Rows that buckets connect are one group if they fit into a block
+of ``BLOCK`` rows; else each bucket is a group, compared in pairs of blocks.  Rows
+of a group are compared on their full n-gram sets, as products of incidence
+matrices.  A pair counts in the first group that it shares, so no
 pair is emitted or counted twice: a block gives each member's number of links and
 a spanning forest of them, from which classes of linked documents follow.
 
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commerce_marts.llm.common import (BASE, doc_key, key_to_id, list_array, mixed, partitions,
@@ -81,25 +82,41 @@ def band_hashes(grams: np.ndarray, counts: np.ndarray, bands: int, rows: int) ->
 
 
 def signatures(texts: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """row, n (copies), grams, bands for each text that has words."""
+    """_key, _c, bands of every row; bands is null for texts without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, max_bytes=1 << 20):
                 grams, counts = gram_sets(part.column("text"), n)
                 some = np.flatnonzero(counts)
-                if not len(some):
-                    continue
-                keys = band_hashes(grams, counts[some], bands, rows)
-                part = part.take(pa.array(some))
+                keys = np.zeros((len(counts), bands), np.uint64)
+                if len(some):
+                    keys[some] = band_hashes(grams, counts[some], bands, rows)
+                lists = list_array(signed(keys.ravel()), np.full(len(counts), bands), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("n"),
-                     list_array(signed(grams), counts[some], pa.int64()),
-                     list_array(signed(keys.ravel()), np.full(len(some), bands), pa.int64())],
-                    names=["row", "n", "grams", "bands"])
+                    [part.column("_key"), part.column("_c"),
+                     lists.take(pa.array(np.arange(len(counts)), mask=counts == 0))],
+                    names=["_key", "_c", "bands"])
 
-    return texts.select("row", "n", "text").mapInArrow(
-        sign, "row long, n long, grams array<long>, bands array<long>")
+    return texts.select("_key", "_c", "text").mapInArrow(
+        sign, "_key long, _c string, bands array<long>")
+
+
+def with_grams(texts: DataFrame, n: int) -> DataFrame:
+    """row, n, kept, grams and one row for each place (group, i, j) of a candidate."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, max_bytes=1 << 20):
+                grams, counts = gram_sets(part.column("text"), n)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("row", "n", "kept", "places")),
+                     list_array(signed(grams), counts, pa.int64())],
+                    names=["row", "n", "kept", "places", "grams"])
+
+    return texts.select("row", "n", "kept", "places", "text").mapInArrow(
+        cut, "row long, n long, kept array<long>, places array<struct<bucket:long,block:long,"
+             "blocks:long>>, grams array<long>")
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -217,60 +234,86 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("a", F.col("new").alias("l"))
 
 
+def groups(hashes: DataFrame, block: int) -> DataFrame:
+    """row, kept (groups of the row), places: the groups in which rows are compared.
+
+    Rows that share buckets, directly or through others, are one group if they fit into a
+    block; else each of their buckets is a group, cut into blocks."""
+    buckets = hashes.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("row").alias("other"),
+        F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("who"))
+    kept = buckets.where("size > 1").groupBy("who", "size", "other").agg(F.min("bucket").alias("bucket"))
+    members = written(hashes.join(kept.select("bucket", "size", "other"), "bucket"), "members")
+    roots = components(members.where("row <> other").select("row", "other").distinct())
+    small = written(roots.join(roots.groupBy("root").agg(F.count("*").alias("all")), "root"), "roots")
+    whole = small.where(F.col("all") <= block).select(
+        "row", F.col("root").alias("bucket"), F.lit(1).cast("long").alias("blocks"))
+    cut = members.join(small.where(F.col("all") > block).select("row"), "row").select(
+        "row", "bucket", F.ceil(F.col("size") / block).alias("blocks"))
+    placed = whole.unionByName(cut).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
+    # a row has at most as many groups as there are bands
+    return placed.groupBy("row").agg(
+        F.sort_array(F.collect_list("bucket")).alias("kept"),
+        F.collect_list(F.struct("bucket", "block", "blocks")).alias("places"))
+
+
 def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL,
          block: int = BLOCK) -> DataFrame:
-    """doc_id, _row (a number for each input row, in ``fixed``), class_id (smallest doc_id
-    of the documents linked directly or through others), first (whether the row is the one
-    that stays of its class), links (other documents whose similarity reaches the threshold)."""
-    return _join(docs, n, threshold, recall, block)[1]
+    """doc_id, class_id (smallest doc_id of the documents linked directly or through others),
+    links (other documents whose similarity reaches the threshold)."""
+    return _join(docs, n, threshold, recall, block)[0]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"_key": doc_key(), "_c": F.md5(
+        F.coalesce(F.col("text").cast("string"), F.lit("")))})
 
 
 def _join(docs: DataFrame, n: int, threshold: float, recall: float, block: int):
     bands, rows = banding(threshold, recall)
-    fixed = written(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_key", doc_key()).withColumn("_c", F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))),
-        "documents")
-    classes = written(fixed.groupBy("_c").agg(F.min("_row").alias("row"), F.count("*").alias("n"),
-                                              F.min("_key").alias("first")), "classes")
-    texts = fixed.select(F.col("_row").alias("row"), "text").join(classes.select("row", "n"), "row")
-    signed_ = written(signatures(texts, n, bands, rows), "signatures")
-    hashes = signed_.select("row", "n", F.explode("bands").alias("bucket"))
-    buckets = hashes.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("who"))
-    kept = buckets.where("size > 1").groupBy("who", "size").agg(F.min("bucket").alias("bucket"))
-    members = written(hashes.join(kept.select("bucket", "size"), "bucket"), "members")
-    own = members.groupBy("row").agg(F.sort_array(F.collect_set("bucket")).alias("kept"))
-    blocks = F.ceil(F.col("size") / block)
-    placed = (members.withColumn("blocks", blocks)
-              .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
-              .withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-              .select("row", "bucket", "block", F.least("block", "x").alias("i"),
-                      F.greatest("block", "x").alias("j")))
-    full = signed_.join(own, "row").select("row", "n", "grams", "kept")
-    found = written(compared(placed.join(full, "row"), threshold), "links")
+    texts = _keyed(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    every = written(signatures(texts, n, bands, rows), "signatures")
+    classes = written(every.groupBy("_c").agg(
+        F.count("*").alias("n"), F.min("_key").alias("first"), F.any_value("bands").alias("bands"))
+        .withColumn("row", F.monotonically_increasing_id()), "classes")
+    hashes = classes.where("bands is not null").select("row", F.explode("bands").alias("bucket"))
+    candidates = classes.select("_c", "row", "n", "first").join(groups(hashes, block), "row")
+    # with the id as part of the key the copies of one text don't meet in one task
+    own = (texts.select("_c", "_key", "text")
+           .join(candidates.withColumnRenamed("first", "_key"), ["_c", "_key"])
+           .dropDuplicates(["_c", "_key"]))
+    placed = (with_grams(own, n).withColumn("p", F.explode("places"))
+              .withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p.blocks") - 1)))
+              .select("row", "n", "kept", "grams", "p.bucket", "p.block",
+                      F.least("p.block", "x").alias("i"), F.greatest("p.block", "x").alias("j")))
+    found = written(compared(placed, threshold), "links")
     links = found.where("other < 0").groupBy("row").agg(F.sum("links").alias("links"))
     roots = components(found.where("other >= 0"))
-    rooted = classes.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"))
+    rooted = classes.drop("bands").withColumn("some", F.lit(True)).join(roots, "row", "left").withColumn(
+        "root", F.coalesce("root", "row"))
+    lowest = rooted.groupBy("root").agg(F.min(F.struct("first", "row")).alias("lowest"))
     known = (rooted.join(lowest, "root").join(links, "row", "left")
-             .join(signed_.select("row").withColumn("some", F.lit(True)), "row", "left")
-             .select("_c", "n", "root", "lowest", "first", F.coalesce("links", F.lit(0)).alias("links"),
-                     F.coalesce("some", F.lit(False)).alias("some")))
-    # of rows with the lowest id the first stays: one row number for each component
-    every = fixed.select("doc_id", "_row", "_key", "_c").join(known, "_c")
-    stays = every.where("some and _key = lowest").groupBy("root").agg(F.min("_row").alias("_stay"))
-    every = every.join(stays, "root", "left")
-    out = every.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "_row",
-        F.when(F.col("some"), key_to_id("lowest")).otherwise(F.col("doc_id").cast("long")).alias("class_id"),
-        (~F.col("some") | (F.col("_row") == F.col("_stay"))).alias("first"),
+             .select("_c", "n", "first", F.col("lowest.first").alias("lowest"),
+                     (F.col("lowest.row") == F.col("row")).alias("stays"),
+                     F.coalesce("links", F.lit(0)).alias("links")))
+    has_words = F.col("bands").isNotNull()
+    out = every.select("_key", "_c", has_words.alias("some")).join(known, "_c").select(
+        key_to_id("_key").alias("doc_id"),
+        F.when(F.col("some"), key_to_id("lowest")).otherwise(key_to_id("_key")).alias("class_id"),
         F.when(F.col("some"), F.col("links") + F.col("n") - 1).otherwise(0).cast("long").alias("links"))
-    return fixed, out
+    return out, known
 
 
 def deduplicated(docs: DataFrame, n: int = N, threshold: float = THRESHOLD,
                  recall: float = RECALL) -> DataFrame:
     """One document of each class of linked documents, with the columns of ``docs``."""
-    fixed, found = _join(docs, n, threshold, recall, BLOCK)
-    gone = found.where("not first").select("_row")
-    return fixed.join(gone, "_row", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    stays = _join(docs, n, threshold, recall, BLOCK)[1].where("stays").select(
+        "_c", F.col("first").alias("_key"))
+    has_words = F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    keyed = _keyed(docs)
+    # equal rows with an equal id: the first of them
+    one = Window.partitionBy("_c", "_key").orderBy(F.lit(0))
+    first = keyed.where(has_words).join(stays, ["_c", "_key"]).withColumn(
+        "_n", F.row_number().over(one)).where("_n = 1")
+    columns = [f"`{c}`" for c in docs.columns]
+    return first.select(*columns).unionByName(keyed.where(~has_words).select(*columns))
