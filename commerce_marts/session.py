@@ -41,7 +41,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Order of preference: an already active checkpoint dir on the context, the
     ``spark.checkpoint.dir`` setting of the session (shared storage on a
-    cluster), and only when both are missing a new local temp folder (tests).
+    cluster), and only in local mode (tests) a new temp folder; else an error.
     """
     try:
         sc = spark.sparkContext
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cm-checkpoint-")
     if sc is None:
         return configured

@@ -117,10 +117,12 @@ def raw_order_items(spark: SparkSession, sf_dir: str, corrupt_dates: bool = Fals
     li = driver_table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey")
     ship = _s(F.to_date("l_shipdate"))
-    df = li.where(F.col("l_partkey") % 40 != 0).select(
+    # items of every fortieth part go to the part before it, which leaves unsold products
+    part = F.col("l_partkey") - F.when(F.col("l_partkey") % 40 == 0, 1).otherwise(0)
+    df = li.select(
         _s(key).alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
-        _s(F.col("l_partkey")).alias("product_id"),
+        _s(part).alias("product_id"),
         _s(F.col("l_suppkey")).alias("seller_id"),
         _corrupt(ship, key, corrupt_dates).alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
@@ -135,8 +137,10 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     Both rows come out of one scan: an array of candidate payment structs per
     order is generated and the inapplicable ones are dropped.
     """
-    o = driver_table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 101 != 0)
+    o = driver_table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
+    # payments of an unknown order leave orders without payments
+    order_id = F.concat(F.when(key % 101 == 0, "x").otherwise(""), _s(key))
     prio = F.substring("o_orderpriority", 1, 1)
     ptype = (F.when(prio.isin("1", "2", "3"), "credit_card").when(prio == "4", "boleto")
              .otherwise("voucher"))
@@ -147,7 +151,7 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(2).alias("payment_sequential"), F.lit("voucher").alias("payment_type"),
         F.lit(1).cast("int").alias("payment_installments"),
         F.lit(10.5).alias("payment_value")))
-    df = (o.select(_s(key).alias("order_id"),
+    df = (o.select(order_id.alias("order_id"),
                    F.explode(F.array(first, second)).alias("p"))
           .where(F.col("p").isNotNull())
           .select("order_id", "p.*"))
@@ -168,12 +172,15 @@ def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
             score.cast("int").alias("review_score"),
             (ts + F.expr(f"INTERVAL {answer_days} DAY")).alias("review_answer_timestamp")))
 
-    candidates = F.array(review(key % 10 != 0, "r", key * 7 % 5 + 1, 3),
+    candidates = F.array(review(F.lit(True), "r", key * 7 % 5 + 1, 3),
                          review(key % 13 == 0, "r", F.lit(5), 9),
                          review(key % 11 == 0, "s", F.lit(4), 5))
     df = (o.select(key, ts, F.explode(candidates).alias("r"))
           .where(F.col("r").isNotNull())
-          .select(F.col("r.review_id"), _s(key).alias("order_id"), F.col("r.review_score"),
+          # the first review of some orders names an unknown order
+          .select(F.col("r.review_id"),
+                  F.concat(F.when((key % 10 == 0) & F.col("r.review_id").startswith("r"), "x")
+                           .otherwise(""), _s(key)).alias("order_id"), F.col("r.review_score"),
                   F.lit(None).cast("string").alias("review_comment_title"),
                   F.when(key % 3 == 0, F.concat(F.lit("review of order "), _s(key)))
                   .alias("review_comment_message"),
@@ -212,8 +219,10 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = driver_table(spark, sf_dir, "part").where(F.col("p_brand") != "Brand#1")
-    df = p.select(F.lower("p_brand").alias("product_category_name"),
+    p = driver_table(spark, sf_dir, "part")
+    # one category is translated under another name, so its products have no translation
+    name = F.concat(F.lower("p_brand"), F.when(F.col("p_brand") == "Brand#1", "_old").otherwise(""))
+    df = p.select(name.alias("product_category_name"),
                   F.upper("p_brand").alias("product_category_name_english")).distinct()
     return _conform(df, "category_translation")
 
