@@ -20,7 +20,7 @@ from commerce_marts.plans import warehouse as W
 from commerce_marts.plans.layers import Layers
 from commerce_marts.session import ensure_checkpoint_dir, scratch_path
 from commerce_marts.sources import bindings as BND
-from commerce_marts.sources.io import export_marts, manifest_check, read_source, write_csv
+from commerce_marts.sources.io import export_marts, read_source, write_csv
 from commerce_marts.sources.schemas import SOURCES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,16 +108,6 @@ def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, (layer, path) in written.items()})
 
 
-def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest_check(spark, sf_dir, [f"{t}.parquet" for t in BND.DRIVER_TABLES])
-
-
-def schema_check(p: Layers) -> DataFrame:
-    expected = {"order_id": "string", "customer_id": "string", "order_status": "string"}
-    expected.update({c: "timestamp_ntz" for c in S.ORDER_TS})
-    return Q.schema_check(p.staging["orders"], "stg_orders", expected)
-
-
 def _trend(p: Layers) -> DataFrame:
     return R.delivery_satisfaction_trend(
         R.delivery_vs_satisfaction(p.fact_orders, p.dim_customers))
@@ -205,18 +195,11 @@ QUERIES: dict[str, Query] = {
     "table_counts": _qw(PQ.table_counts),
     "export_roundtrip": export_roundtrip,
     "warehouse_build": warehouse_build,
-    "manifest_check": manifest,
-    "schema_check": _q(schema_check),
-    "profile_columns": _q(lambda p: PQ.profile_columns(p.raw)),
 }
 
-# Keys without a SQL oracle: their result is metadata about files/schemas.
-ROWS_ONLY = ("manifest_check", "schema_check", "profile_columns")
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship query: sales by region over the full model chain."""
     return QUERIES["mart_sales_by_region"](spark, sf_dir)
 
 
-__all__ = ["QUERIES", "ROWS_ONLY", "flagship"]
+__all__ = ["QUERIES", "flagship"]
