@@ -12,30 +12,45 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commerce_marts.sources.schemas import RAW_SCHEMAS, SOURCES
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
-               "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
+#: Sources whose cells hold line breaks; only these can't be split into several tasks.
+MULTI_LINE = ("order_reviews",)
 
 
 def read_source(spark: SparkSession, name: str, path: str,
                 schema: T.StructType | None = None) -> DataFrame:
-    """Typed CSV scan of one raw source (never infers the schema)."""
-    return (spark.read.schema(schema or RAW_SCHEMAS[name]).options(**CSV_OPTIONS)
-            .csv(path))
+    """Typed CSV scan of one raw source (never infers the schema).
+
+    Columns go by the header's names in any order; a missing column or a cell that
+    doesn't fit its type is an error.
+    """
+    schema = schema or RAW_SCHEMAS[name]
+    options = {**CSV_OPTIONS, "multiLine": str(name in MULTI_LINE).lower()}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    in_file = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType())
+                            for c in header])
+    return spark.read.schema(in_file).options(**options).csv(path).select(*schema.names)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Write a raw frame as header CSV with quoting compatible with read_source."""
     (df.write.mode("overwrite").option("header", "true").option("quote", '"')
-     .option("escape", '"').csv(path))
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
     return path
 
 
@@ -83,18 +98,22 @@ def export_marts(marts: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]
 
 def manifest_check(spark: SparkSession, directory: str,
                    expected: Sequence[str] | None = None) -> DataFrame:
-    """One row per expected file: present flag and size in bytes.
+    """One row per expected file, or folder of part files: present flag and size in bytes.
 
     The directory listing comes from the ``binaryFile`` source with only path
     and length selected, so file contents are never read.
     """
     expected = list(expected or [s.file_name for s in SOURCES.values()])
     wanted = spark.createDataFrame([(e,) for e in expected], "file_name string")
+    root = re.sub("^file:/+", "/", directory.rstrip("/"))
+    name = F.element_at(F.split("path", "/"), len(root.split("/")) + 1)
     try:
-        listing = (spark.read.format("binaryFile").load(directory)
-                   .select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                           F.col("length").alias("size_bytes")))
-    except Exception:  # directory missing entirely
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .load(directory).select(name.alias("file_name"), "length")
+                   .groupBy("file_name").agg(F.sum("length").alias("size_bytes")))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         listing = spark.createDataFrame([], "file_name string, size_bytes long")
     return (wanted.join(listing, "file_name", "left")
             .select("file_name", F.col("size_bytes").isNotNull().alias("present"),

@@ -7,12 +7,14 @@ import shutil
 import tempfile
 import warnings
 
+import pytest
 from pyspark.sql import functions as F
 
 from commerce_marts.plans import reports as R
 from commerce_marts.plans.layers import Layers
 from commerce_marts.session import scratch_path
-from commerce_marts.sources.io import land_as_parquet, require_manifest, write_csv
+from commerce_marts.sources.io import (land_as_parquet, manifest_check, read_source,
+                                       require_manifest, write_csv)
 from commerce_marts.sources.schemas import SOURCES
 from tests.fixture_data import frames, ten_order_rows
 
@@ -56,3 +58,28 @@ def test_missing_source_is_skipped_with_warning(spark):
         paths = land_as_parquet(spark, landing, scratch_path(spark, "landed-partial"))
     assert "geolocation" not in paths and len(paths) == 8
     assert any("olist_geolocation_dataset.csv" in str(w.message) for w in caught)
+
+
+def test_columns_go_by_header_and_bad_cells_fail(spark, tmp_path):
+    path = str(tmp_path / "sellers.csv")
+    with open(path, "w") as f:
+        f.write("seller_zip_code_prefix,seller_id,seller_city,seller_state\n01037,s1,sao paulo,SP\n")
+    row = read_source(spark, "sellers", path).first()
+    assert (row.seller_id, row.seller_zip_code_prefix) == ("s1", "01037")
+    bad = str(tmp_path / "payments.csv")
+    with open(bad, "w") as f:
+        f.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+                "o1,one,boleto,1,2.5\n")
+    with pytest.raises(Exception, match="one"):
+        read_source(spark, "order_payments", bad).collect()
+    with pytest.raises(ValueError, match="no column"):
+        read_source(spark, "order_payments", path)
+
+
+def test_manifest_counts_folder_tables(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(str(tmp_path / "items.parquet"))
+    rows = {r.file_name: r for r in manifest_check(
+        spark, str(tmp_path), ["items.parquet", "none.parquet"]).collect()}
+    assert rows["items.parquet"].present and rows["items.parquet"].size_bytes > 0
+    assert not rows["none.parquet"].present
+    assert not manifest_check(spark, str(tmp_path / "absent"), ["x"]).first().present
