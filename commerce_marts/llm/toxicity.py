@@ -109,7 +109,11 @@ def project(chosen: list[str], keys: np.ndarray, table: np.ndarray) -> np.ndarra
     if table.ndim == 1:
         return np.bincount(row, weight * table[at], minlength=len(chosen))
     out = np.zeros((len(chosen), table.shape[1]))
-    np.add.at(out, row, weight[:, None] * table[at])
+    order = np.argsort(row, kind="stable")
+    row = row[order]
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    if len(row):
+        out[row[starts]] = np.add.reduceat(weight[order, None] * table[at[order]], starts)
     return out
 
 
@@ -308,6 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS):
         scorer = Scorer(kernel.keys, kernel.table @ (whiten @ w[:-1]), float(w[-1]))
         f = scorer.words(clean)
         hard = list(dict.fromkeys([*hard, *(clean[i] for i in np.argsort(-f)[:1500])]))
+        scorer.words([w for own in bags.values() for w in own])  # all at once: kept for the loop
         for d, own in bags.items():
             witness[d] = own[int(np.argmax(scorer.words(own)))]
     model = spark.sparkContext.broadcast((scorer.keys, scorer.weights, scorer.bias))
