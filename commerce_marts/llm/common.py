@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 #: Stands for a null doc_id inside an operator: after every other id.
 NO_ID = (1 << 63) - 1
+#: With this setting Spark deletes the shuffle files of a write once the write has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Odd multipliers of the rolling and mixing hashes (any odd 64-bit numbers do).
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -47,10 +49,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table written under the shared folder: cuts the lineage and
-    fixes the rows, so later reads neither recompute nor see other rows."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fixes the rows, so later reads neither recompute nor see other rows.  The shuffle
+    files behind it go when the table is there, as nothing reads them again."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
