@@ -294,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS):
     if not clean or not bags:
         return float(not clean)
     hard: list[str] = []
-    for _ in range(3):
+    for last in (False, False, True):
         count: dict[str, int] = {}
         for w in witness.values():
             count[w] = count.get(w, 0) + 1
@@ -310,6 +310,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS):
         weight = np.concatenate([np.sqrt([count[w] for w in seen]), np.ones(len(plain))])
         w = machine(x, y, weight)
         scorer = Scorer(kernel.keys, kernel.table @ (whiten @ w[:-1]), float(w[-1]))
+        if last:
+            break
         f = scorer.words(clean)
         hard = list(dict.fromkeys([*hard, *(clean[i] for i in np.argsort(-f)[:1500])]))
         scorer.words([w for own in bags.values() for w in own])  # all at once: kept for the loop
