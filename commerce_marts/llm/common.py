@@ -47,15 +47,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` as a table written under the shared folder: cuts the lineage and
     fixes the rows, so later reads neither recompute nor see other rows.  The shuffle
-    files behind it go when the table is there, as nothing reads them again."""
+    files behind it go when the table is there, as nothing reads them again.  ``by``
+    names a column whose buckets lay the table out, so that joins on it need no exchange."""
     spark = df.sparkSession
     path = scratch(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
+        if by:
+            bucketed = f"llm_{path.rsplit('/', 1)[1].replace('-', '_')}"
+            df.write.bucketBy(partitions(spark), by).option("path", path).saveAsTable(bucketed)
+            return spark.table(bucketed)
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)

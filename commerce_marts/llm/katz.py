@@ -8,11 +8,11 @@ discount d for counts up to ``MAX_R`` (where counts of counts give none between
 keeps one of c(h) + 1 parts for unseen words.  An unseen history backs off with 1.
 
 Documents are encoded in chunks of bounded text, a table bucketed by chunk.  A chunk
-asks for each distinct word once, and sends its distinct pairs as sorted arrays to
-buckets of the pair hash, where they are counted; the answer is the counts in the
-same order.  Hot words and pairs thus come once per chunk.  Tables of words and of
-histories are joined to the requests; nothing corpus-wide reaches the driver but
-N, V and the first counts of counts.
+sends its distinct words, and its distinct pairs, as sorted arrays to buckets of
+their hash, where they are counted; the answer is the counts in the same order, in
+tables bucketed by chunk as well.  The sums of a history go the same way.  Hot words
+and pairs thus come once per chunk.  Nothing corpus-wide reaches the driver but N, V
+and the first counts of counts.
 
 Nulls: a null text is an empty text, one end token; a null doc_id is learned from.
 Repeated rows count again.  Texts are read whole.  An empty table gives no rows.
@@ -20,8 +20,7 @@ Repeated rows count again.  Texts are read whole.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commerce_marts.llm.common import (BASE, mixed, partitions, scratch, signed, text_slices,
-                                       word_hashes, words, written)
+from commerce_marts.llm.common import (BASE, mixed, partitions, text_slices, word_hashes, words,
+                                       written)
 
 MAX_R = 5
 ADD = 0.1
 END, START = np.uint64(1), np.uint64(2)
-#: Bytes of text of a chunk, and distinct pairs that a bucket of pairs should hold.
+#: Bytes of text of a chunk, and tokens for each bucket of words or pairs.
 CHUNK_BYTES = 4 << 20
-BUCKET_PAIRS = 2_000_000
+BUCKET_TOKENS = 2_000_000
 
 
 def held_out() -> F.Column:
@@ -46,9 +45,8 @@ def held_out() -> F.Column:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """chunk; doc_id and train of its documents; vocab (sorted word hashes), ids (tokens as
-    places in vocab), lengths (tokens of each document with its end)."""
-    spark = docs.sparkSession
+    """chunk, n (its tokens); doc_id and train of its documents; vocab (sorted word hashes and
+    the start), ids (tokens as places in vocab), lengths (tokens of each document with its end)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
@@ -56,23 +54,21 @@ def chunks(docs: DataFrame) -> DataFrame:
             for part in text_slices(batch, max_bytes=CHUNK_BYTES):
                 flat, n = words(pc.ascii_lower(pc.fill_null(part.column("text"), "")))
                 h = np.insert(word_hashes(flat), np.cumsum(n), END)
-                vocab, ids = np.unique(h, return_inverse=True)
+                vocab, ids = np.unique(np.append(h, START), return_inverse=True)
+                ids = ids[:-1]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([chunk]), *(pa.array([part.column(c).to_pylist()], pa.list_(t))
+                    pa.array([chunk]), pa.array([len(ids)]), *(pa.array([part.column(c).to_pylist()], pa.list_(t))
                                          for c, t in (("doc_id", pa.int64()), ("train", pa.bool_()))),
                     *(pa.array([x.tobytes()], pa.binary())
                       for x in (vocab, ids.astype(np.uint32), (n + 1).astype(np.int64)))],
-                    names=["chunk", "doc_id", "train", "vocab", "ids", "lengths"])
+                    names=["chunk", "n", "doc_id", "train", "vocab", "ids", "lengths"])
                 chunk += 1
 
-    name = f"llm_chunks_{uuid.uuid4().hex[:12]}"
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out()).alias("train"),
-                 F.col("text").cast("string").alias("text"))
-     .mapInArrow(encode, "chunk long, doc_id array<long>, train array<boolean>, vocab binary, "
-                         "ids binary, lengths binary")
-     .write.bucketBy(partitions(spark), "chunk").option("path", scratch(spark, "chunks"))
-     .saveAsTable(name))
-    return spark.table(name)
+    return written(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out()).alias("train"),
+                    F.col("text").cast("string").alias("text"))
+        .mapInArrow(encode, "chunk long, n long, doc_id array<long>, train array<boolean>, "
+                            "vocab binary, ids binary, lengths binary"), "chunks", by="chunk")
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -90,61 +86,59 @@ class _Chunk:
         self.train = np.repeat(row["train"].values.to_numpy(zero_copy_only=False), self.lengths)
 
     def histories(self) -> np.ndarray:
-        """Place of the token before each; the start of a document comes after the vocabulary."""
+        """Place of the token before each, or of the start."""
         before = np.concatenate([[0], self.ids[:-1]])
-        before[np.cumsum(self.lengths) - self.lengths] = len(self.vocab)
+        before[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.vocab, START)
         return before
 
+    def words(self):
+        """Distinct words in order of their hash, and their training count."""
+        return self.vocab, np.bincount(self.ids, self.train, minlength=len(self.vocab)).astype(np.int64)
+
     def pairs(self):
-        """Distinct pairs in order of their hash: hash, history, word, training count, and
+        """Distinct pairs in order of their hash: hash, training count, history, word, and
         each token's pair."""
         before = self.histories()
         code = before * len(self.vocab) + self.ids
         code, at = np.unique(code, return_inverse=True)
         h, w = np.divmod(code, len(self.vocab))
-        names = np.append(self.vocab, START)
         with np.errstate(over="ignore"):
-            key = mixed(mixed(names[h] * BASE) + names[w])
+            key = mixed(mixed(self.vocab[h] * BASE) + self.vocab[w])
         n = np.bincount(at, self.train, minlength=len(code)).astype(np.int64)
         order = np.argsort(key, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        return key[order], h[order], w[order], n[order], place[at]
+        return key[order], n[order], h[order], w[order], place[at]
 
 
-def word_requests(encoded: DataFrame) -> DataFrame:
-    """chunk, word, n (in training documents) for each distinct word and for the start."""
+def _word_answer(at: np.ndarray, first: np.ndarray, total: np.ndarray):
+    """The place of each word in its bucket; N and V of the bucket."""
+    return at.astype(np.uint32), [total.sum(), (total > 0).sum()]
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                c = _Chunk(row)
-                n = np.bincount(c.ids, c.train, minlength=len(c.vocab)).astype(np.int64)
-                word = np.append(c.vocab, START)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(word), row["chunk"].as_py())), pa.array(signed(word)),
-                     pa.array(np.append(n, 0))], names=["chunk", "word", "n"])
 
-    return encoded.mapInArrow(ask, "chunk long, word long, n long")
+def _pair_answer(at: np.ndarray, first: np.ndarray, total: np.ndarray):
+    """Whether a pair is met for the first time; counts of counts of the bucket."""
+    owner = np.zeros(len(at), bool)
+    owner[first] = True
+    return owner, np.bincount(total[(total > 0) & (total <= MAX_R + 1)], minlength=MAX_R + 2)
 
 
-def pair_counts(encoded: DataFrame, n_tokens: int) -> DataFrame:
-    """chunk, bucket, counts (training count of each of the chunk's pairs in the bucket, by
-    hash), owner (whether the chunk is the first that has it), first (counts of counts)."""
-    buckets = max(1, partitions(encoded.sparkSession), -(-n_tokens // BUCKET_PAIRS))
+def tally(encoded: DataFrame, ask: Callable, answer: Callable, buckets: int, name: str) -> DataFrame:
+    """chunk, found: for each bucket, counts (corpus-wide training count of what the chunk asked
+    for, by hash), marks and sums (both from ``answer``)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                key, _, _, n, _ = _Chunk(row).pairs()
+                key, n = ask(_Chunk(row))[:2]
                 of = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 cut = np.searchsorted(of, np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(cut))
-                parts = [(key[cut[b]:cut[b + 1]], n[cut[b]:cut[b + 1]]) for b in full]
+                parts = [slice(cut[b], cut[b + 1]) for b in full]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), row["chunk"].as_py())),
-                     pa.array([k.tobytes() for k, _ in parts], pa.binary()),
-                     pa.array([x.astype(np.uint32).tobytes() for _, x in parts], pa.binary())],
+                     pa.array([key[p].tobytes() for p in parts], pa.binary()),
+                     pa.array([n[p].astype(np.uint32).tobytes() for p in parts], pa.binary())],
                     names=["bucket", "chunk", "keys", "n"])
 
     def count(group: pa.Table) -> pa.Table:
@@ -153,20 +147,25 @@ def pair_counts(encoded: DataFrame, n_tokens: int) -> DataFrame:
         n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in group["n"]])
         _, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total = np.bincount(at, n).astype(np.int64)
-        owner = np.zeros(len(at), bool)
-        owner[first] = True
+        marks, sums = answer(at, first, total)
         cuts = np.cumsum([len(k) for k in keys])[:-1]
-        low = np.bincount(total[(total > 0) & (total <= MAX_R + 1)], minlength=MAX_R + 2)
-        rows = group.num_rows
         return pa.table({
             "chunk": group["chunk"], "bucket": group["bucket"],
             "counts": pa.array([x.tobytes() for x in np.split(total[at], cuts)], pa.binary()),
-            "owner": pa.array([x.tobytes() for x in np.split(owner, cuts)], pa.binary()),
-            "first": pa.array([low.tolist()] + [None] * (rows - 1), pa.list_(pa.int64()))})
+            "marks": pa.array([x.tobytes() for x in np.split(marks, cuts)], pa.binary()),
+            "sums": pa.array([[int(x) for x in sums]] + [None] * (len(keys) - 1), pa.list_(pa.int64()))})
+
+    found = encoded.mapInArrow(send, "bucket int, chunk long, keys binary, n binary").groupBy(
+        "bucket").applyInArrow(count, "chunk long, bucket int, counts binary, marks binary, sums array<long>")
+    # a chunk's answers are as large as its requests
+    return written(found.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct(
+        "bucket", "counts", "marks", "sums"))).alias("found")), name, by="chunk")
+
 
-    sent = encoded.mapInArrow(send, "bucket int, chunk long, keys binary, n binary")
-    return sent.groupBy("bucket").applyInArrow(
-        count, "chunk long, bucket int, counts binary, owner binary, first array<long>")
+def _sums(answers: DataFrame, n: int) -> list[int]:
+    row = answers.select(F.explode("found.sums").alias("s")).agg(
+        *(F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(n))).first()
+    return [int(x or 0) for x in row]
 
 
 def discounts(n_r: list[int]) -> np.ndarray:
@@ -184,76 +183,78 @@ def _discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return c * np.where(c <= MAX_R, d[np.minimum(c, MAX_R)], 1.0)
 
 
-def _joined(encoded: DataFrame, counts: DataFrame, answers: DataFrame) -> DataFrame:
-    """Each chunk with the answers to its requests; both are bounded by the chunk."""
-    own = counts.groupBy("chunk").agg(
-        F.array_sort(F.collect_list(F.struct("bucket", "counts", "owner"))).alias("found"))
-    return encoded.join(own, "chunk").join(answers, "chunk")
+def _array(found, field: str, kind) -> np.ndarray:
+    """What the buckets answered, in order of the hash."""
+    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in found.values.field(field)])
 
 
-def _lookup(row: dict, names: list[str]):
-    known, found = row["known"].values, row["found"].values
-    words_ = known.field("word").to_numpy().view(np.uint64)
-    order = np.argsort(words_)
-    chunk = _Chunk(row)
-    at = order[np.searchsorted(words_[order], np.append(chunk.vocab, START))]
-    values = [known.field(n).to_numpy().astype(float)[at] for n in names]
-    counts, owner = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in found.field(n)])
-                     for n, t in (("counts", np.int64), ("owner", bool)))
-    return chunk, values, counts, owner
+def backed_off(group: pa.Table) -> pa.Table:
+    """unit (the factor of a discounted count) and alpha of a bucket's words, for each chunk."""
+    at = [np.frombuffer(x.as_py(), np.uint32) for x in group["places"]]
+    every = np.concatenate(at)
+    some = np.concatenate([a[np.frombuffer(x.as_py(), np.uint32)] for a, x in zip(at, group["some"])])
+    c_h, mass, p = (np.bincount(some, np.concatenate(
+        [np.frombuffer(x.as_py(), float) for x in group[name]]), minlength=int(every.max()) + 1)
+        for name in ("c_h", "mass", "p"))
+    scale = np.where(mass > c_h * (1 - 1e-9), c_h / (c_h + 1), 1.0)
+    seen = c_h > 0
+    unit = np.divide(scale, c_h, out=np.zeros_like(c_h), where=seen)
+    alpha = np.where(seen, (1 - unit * mass) / (1 - p), 1.0)
+    return pa.table({"chunk": group["chunk"], "bucket": group["bucket"],
+                     "unit": pa.array([unit[a].tobytes() for a in at], pa.binary()),
+                     "alpha": pa.array([alpha[a].tobytes() for a in at], pa.binary())})
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     encoded = chunks(docs)
-    asked = written(word_requests(encoded), "word-requests")
-    vocabulary = written(asked.groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
-    total = vocabulary.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    n, v = int(total["n"] or 0), int(total["v"])
+    tokens = int(encoded.agg(F.sum("n").alias("n")).first()["n"] or 0)
+    buckets = max(1, partitions(docs.sparkSession), -(-tokens // BUCKET_TOKENS))
+    vocabulary = tally(encoded, _Chunk.words, _word_answer, buckets, "words")
+    pairs = tally(encoded, _Chunk.pairs, _pair_answer, buckets, "pairs")
+    n, v = _sums(vocabulary, 2)
     denominator = n + ADD * (v + 1)
-    counts = written(pair_counts(encoded, n), "pair-counts")
-    low = counts.where("first is not null").agg(*(
-        F.sum(F.col("first")[r]).alias(f"r{r}") for r in range(MAX_R + 2))).first()
-    d = discounts([int(x or 0) for x in low])
-    known = written(asked.select("chunk", "word").join(vocabulary, "word"), "words")
+    d = discounts(_sums(pairs, MAX_R + 2))
+    known = encoded.join(vocabulary.withColumnRenamed("found", "words"), "chunk").join(
+        pairs.withColumnRenamed("found", "pairs"), "chunk")
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                chunk, (c,), pairs, owner = _lookup(row, ["c"])
-                _, h, w, _, _ = chunk.pairs()
-                some = owner & (pairs > 0)
-                h, w, pairs = h[some], w[some], pairs[some]
-                size = len(chunk.vocab) + 1
-                sums = [np.bincount(h, x, minlength=size) for x in (
-                    pairs, _discounted(pairs, d), (c[w] + ADD) / denominator)]
-                full = np.flatnonzero(sums[0])
+                chunk, c = _Chunk(row), _array(row["words"], "counts", np.int64)
+                pair, owner = _array(row["pairs"], "counts", np.int64), _array(row["pairs"], "marks", bool)
+                _, _, h, w, _ = chunk.pairs()
+                some = owner & (pair > 0)
+                h, w, pair = h[some], w[some], pair[some]
+                sums = [np.bincount(h, x, minlength=len(chunk.vocab)) for x in (
+                    pair, _discounted(pair, d), (c[w] + ADD) / denominator)]
+                places = [x.as_buffer() for x in row["words"].values.field("marks")]
+                cut = np.cumsum([0, *(len(x) // 4 for x in places)])
+                full = [np.flatnonzero(sums[0][a:b]) for a, b in zip(cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.append(chunk.vocab, START)[full])),
-                     *(pa.array(s[full]) for s in sums)], names=["word", "c_h", "mass", "p"])
-
-    per_word = known.groupBy("chunk").agg(F.collect_list(F.struct("word", "c")).alias("known"))
-    partial = _joined(encoded, counts, per_word).mapInArrow(
-        masses, "word long, c_h double, mass double, p double")
-    scale = F.when(F.col("mass") > F.col("c_h") * (1 - 1e-9), F.col("c_h") / (F.col("c_h") + 1)).otherwise(1.0)
-    histories = written(partial.groupBy("word").agg(
-        F.sum("c_h").alias("c_h"), F.sum("mass").alias("mass"), F.sum("p").alias("p")).select(
-        "word", "c_h", scale.alias("scale"),
-        ((1 - scale * F.col("mass") / F.col("c_h")) / (1 - F.col("p"))).alias("alpha")), "histories")
-    answers = known.join(histories, "word", "left").groupBy("chunk").agg(F.collect_list(F.struct(
-        "word", "c", F.coalesce("c_h", F.lit(0.0)).alias("c_h"),
-        F.coalesce("scale", F.lit(1.0)).alias("scale"),
-        F.coalesce("alpha", F.lit(1.0)).alias("alpha"))).alias("known"))
+                    [row["words"].values.field("bucket"), pa.array([row["chunk"].as_py()] * len(full)),
+                     pa.array(map(bytes, places), pa.binary()),
+                     pa.array([x.astype(np.uint32).tobytes() for x in full], pa.binary()),
+                     *(pa.array([s[a + x].tobytes() for a, x in zip(cut, full)], pa.binary())
+                       for s in sums)], names=["bucket", "chunk", "places", "some", "c_h", "mass", "p"])
+
+    histories = written(known.mapInArrow(
+        masses, "bucket int, chunk long, places binary, some binary, c_h binary, mass binary, p binary")
+        .groupBy("bucket").applyInArrow(backed_off, "chunk long, bucket int, unit binary, alpha binary")
+        .groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "unit", "alpha")))
+                              .alias("histories")), "histories", by="chunk")
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                chunk, (c, c_h, scale, alpha), pairs, _ = _lookup(row, ["c", "c_h", "scale", "alpha"])
-                _, h, w, _, place = chunk.pairs()
+                chunk, c = _Chunk(row), _array(row["words"], "counts", np.int64)
+                pair = _array(row["pairs"], "counts", np.int64)
+                unit, alpha = (_array(row["histories"], x, float) for x in ("unit", "alpha"))
+                _, _, h, w, place = chunk.pairs()
                 base = np.log10((c + ADD) / denominator)
                 log = np.log10(alpha[h]) + base[w]
-                seen = pairs > 0
-                log[seen] = np.log10(scale[h[seen]] * _discounted(pairs[seen], d) / c_h[h[seen]])
+                seen = pair > 0
+                log[seen] = np.log10(unit[h[seen]] * _discounted(pair[seen], d))
                 starts = np.cumsum(chunk.lengths) - chunk.lengths
                 yield pa.RecordBatch.from_arrays(
                     [row["doc_id"].values, pa.array(chunk.lengths),
@@ -262,7 +263,7 @@ def score(docs: DataFrame) -> DataFrame:
                      pa.array(np.add.reduceat(log[place], starts))],
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return _joined(encoded, counts, answers).mapInArrow(
+    return known.join(histories, "chunk").mapInArrow(
         evaluate, "doc_id long, n_tokens long, n_known long, base_score double, score double").select(
         "doc_id", held_out().alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
