@@ -54,14 +54,15 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     names a column whose buckets lay the table out, so that joins on it need no exchange."""
     spark = df.sparkSession
     path = scratch(spark, name)
+    out = df.write.option("compression", "zstd")
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
         if by:
             bucketed = f"llm_{path.rsplit('/', 1)[1].replace('-', '_')}"
-            df.write.bucketBy(partitions(spark), by).option("path", path).saveAsTable(bucketed)
+            out.bucketBy(partitions(spark), by).option("path", path).saveAsTable(bucketed)
             return spark.table(bucketed)
-        df.write.parquet(path)
+        out.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
