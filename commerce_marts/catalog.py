@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from commerce_marts.operators.dedup import dedup_by_key
 from commerce_marts.operators.keys import surrogate_key
 from commerce_marts.operators import quality as Q
+from commerce_marts.plans import marts as M
 from commerce_marts.plans import quality as PQ
 from commerce_marts.plans import reports as R
 from commerce_marts.plans import staging as S
@@ -20,7 +21,7 @@ from commerce_marts.plans import warehouse as W
 from commerce_marts.plans.layers import Layers
 from commerce_marts.session import ensure_checkpoint_dir, scratch_path
 from commerce_marts.sources import bindings as BND
-from commerce_marts.sources.io import export_marts, read_source, write_csv
+from commerce_marts.sources.io import export_checked, read_source, write_csv
 from commerce_marts.sources.schemas import SOURCES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,10 +91,19 @@ def fk_lookup_customer(p: Layers) -> DataFrame:
     return W.customer_key_lookup(p.staging["orders"], p.staging["customers"], p.dim_customers)
 
 
-def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _exported(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     p = _layers(spark, sf_dir)
-    paths = export_marts(p.marts(), scratch_path(spark, "marts_export"))
-    return spark.read.parquet(paths["mart_sales_by_region"])
+    return export_checked(p.marts(), scratch_path(spark, "marts_export"))
+
+
+def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales mart as read back; a lossy export of any of the three marts is an error."""
+    return _exported(spark, sf_dir)["mart_sales_by_region"]
+
+
+def export_roundtrip_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of the three marts as read back from their export."""
+    return M.mart_values(_exported(spark, sf_dir))
 
 
 def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "profile_duplicate_keys": _q(lambda p: PQ.profile_duplicate_keys(p.raw)),
     "duplicate_key_sample": _q(lambda p: Q.duplicate_key_sample(
         p.raw["order_items"], SOURCES["order_items"].pk)),
+    "duplicate_key_samples": _q(lambda p: PQ.duplicate_key_samples(p.raw)),
     "profile_numeric": _q(lambda p: PQ.profile_numeric(p.raw)),
     "profile_cardinality": _q(lambda p: PQ.profile_cardinality(p.raw)),
     "dq_results": _qw(PQ.dq_results),
@@ -194,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "fk_orphans": _qw(PQ.fk_orphans),
     "table_counts": _qw(PQ.table_counts),
     "export_roundtrip": export_roundtrip,
+    "export_roundtrip_marts": export_roundtrip_marts,
     "warehouse_build": warehouse_build,
 }
 

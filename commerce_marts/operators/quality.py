@@ -109,6 +109,15 @@ def duplicate_key_sample(df: DataFrame, pk: Sequence[str], n: int = 4) -> DataFr
     return rows.orderBy(*order).limit(n).select(*pk)
 
 
+def duplicate_key_counts(df: DataFrame, table: str, pk: Sequence[str], n: int = 4) -> DataFrame:
+    """table, pk, key, copies: the first ``n`` duplicated keys of a table, NULL keys among them."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in pk]
+    return (df.groupBy(*pk).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+            .orderBy(*[F.col(c).asc_nulls_last() for c in pk]).limit(n)
+            .select(F.lit(table).alias("table_name"), F.lit(",".join(pk)).alias("pk"),
+                    F.concat_ws(",", *parts).alias("key"), "copies"))
+
+
 def profile_numeric(df: DataFrame, table: str, digits: int = 2) -> DataFrame:
     """Long form: table, column, min, max, mean (rounded) of every numeric column."""
     cols = numeric_columns(df)

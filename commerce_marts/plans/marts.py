@@ -12,7 +12,7 @@ delivery day count, so an item without an estimate counts as neither.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -165,3 +165,25 @@ def mart_delivery_kpis(oij: DataFrame, customers: DataFrame) -> DataFrame:
         pct(_on_time(), F.count("days_to_deliver"), 1).alias("on_time_rate_pct"),
         round_half_up(F.avg(late_days), 1).alias("avg_delay_when_late"),
         round_half_up(F.avg("review_score"), 2).alias("avg_review_score"))
+
+
+MART_KEYS = {
+    "mart_sales_by_region": ("customer_state", "customer_city"),
+    "mart_product_performance": ("category_en", "price_band"),
+    "mart_delivery_kpis": ("customer_state", "order_year", "order_month"),
+}
+
+
+def mart_values(marts: Mapping[str, DataFrame]) -> DataFrame:
+    """mart_name, key, column_name, value: every measure of every mart in long form."""
+    out = None
+    for name, df in marts.items():
+        keys = MART_KEYS[name]
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in keys]
+        rest = [c for c in df.columns if c not in keys]
+        long = df.select(F.concat_ws(",", *parts).alias("key"),
+                         *[F.col(c).cast("double").alias(c) for c in rest]).unpivot(
+            ["key"], rest, "column_name", "value")
+        long = long.select(F.lit(name).alias("mart_name"), "key", "column_name", "value")
+        out = long if out is None else out.unionByName(long)
+    return out

@@ -57,6 +57,12 @@ def profile_duplicate_keys(raw: Mapping[str, DataFrame]) -> DataFrame:
                    for n, df in raw.items()])
 
 
+def duplicate_key_samples(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """The duplicate-key sample of every raw table."""
+    return _union([Q.duplicate_key_counts(df, SOURCES[n].file_name, SOURCES[n].pk)
+                   for n, df in raw.items()])
+
+
 def profile_numeric(raw: Mapping[str, DataFrame]) -> DataFrame:
     return _union([Q.profile_numeric(df, SOURCES[n].file_name) for n, df in raw.items()
                    if Q.numeric_columns(df)])

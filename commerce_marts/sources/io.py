@@ -6,7 +6,8 @@
   columnar files with pushdown and pruning.
 * ``write_table`` — idempotent overwrite of a table (create-or-replace).
 * ``conform`` — select + cast to a declared table schema (insert into DDL).
-* ``export_marts`` — parquet export of several result tables.
+* ``export_marts`` — parquet export of several result tables; ``export_checked``
+  also reads every one back and compares rows and content.
 * ``manifest_check`` — expected files present, with sizes.
 """
 
@@ -17,7 +18,7 @@ import warnings
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +97,30 @@ def export_marts(marts: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]
             for name, df in marts.items()}
 
 
+def _content(columns: Sequence[str]) -> list[Column]:
+    """Row count and an order-free checksum of all columns; decimals can't overflow here."""
+    row_hash = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(20,0)")
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash).alias("checksum")]
+
+
+def export_checked(marts: Mapping[str, DataFrame], out_dir: str) -> dict[str, DataFrame]:
+    """``export_marts``, then every written mart read back.
+
+    Count and checksum are observed on the rows as they are written, so nothing
+    is computed twice; a mart that reads back otherwise is an error.
+    """
+    seen = {name: Observation(f"export-{name}") for name in marts}
+    paths = export_marts({name: df.observe(seen[name], *_content(df.columns))
+                          for name, df in marts.items()}, out_dir)
+    back = {}
+    for name, df in marts.items():
+        back[name] = df.sparkSession.read.parquet(paths[name])
+        got = back[name].agg(*_content(df.columns)).first().asDict()
+        if back[name].columns != df.columns or got != seen[name].get:
+            raise ValueError(f"export of {name} reads back as {got}, written was {seen[name].get}")
+    return back
+
+
 def manifest_check(spark: SparkSession, directory: str,
                    expected: Sequence[str] | None = None) -> DataFrame:
     """One row per expected file, or folder of part files: present flag and size in bytes.
