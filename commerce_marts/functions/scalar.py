@@ -5,9 +5,10 @@ zero and scales back.  That is the arithmetic definition of ``ROUND(x, n)``
 on doubles used by the modelled SQL; Spark's own ``round(x, n)`` rounds the
 shortest decimal text of ``x`` and differs on values such as 1.005.
 
-Money: amounts carry cents, so sums of money are computed exactly as a long
-sum of cents.  The result is independent of row order and of how Spark
-partitions the input, which a double sum is not.
+Money: amounts are summed as decimals of 18 places and 20 digits before them, so
+no amount is rounded to cents before the sum.  The result is independent of row
+order and of how Spark partitions the input, which a double sum is not.  An amount
+or a sum that doesn't fit, or that is no number, is an error, never a wrong value.
 """
 
 from __future__ import annotations
@@ -32,23 +33,33 @@ def round_half_up(c: ColumnOrName, n: int = 0) -> Column:
     return F.round(_c(c) * F.lit(scale), 0) / F.lit(scale)
 
 
-def cents(c: ColumnOrName) -> Column:
-    """A money amount (at most two decimals) as an exact long number of cents.
+#: Fixed value: a double of 0.1 and more has at most 17 decimal places in shortest form.
+MONEY = "decimal(38,18)"
 
-    ``x * 100`` of such an amount lies within 1e-9 of an integer, so
-    ``floor(x * 100 + 0.5)`` is that integer for either sign; it avoids the
-    per-row decimal conversion that ``round`` performs on doubles.
-    """
-    return F.floor(_c(c) * F.lit(100.0) + F.lit(0.5))
+
+def money(c: ColumnOrName) -> Column:
+    """A money amount as a decimal; one that has no such decimal is an error in any mode."""
+    x = _c(c)
+    exact = x.try_cast(MONEY)
+    return F.when(exact.isNotNull() | x.isNull(), exact).otherwise(
+        F.raise_error(F.concat(F.lit("amount outside of " + MONEY + ": "), x.cast("string")))
+        .cast(MONEY))
+
+
+def money_total(c: ColumnOrName) -> Column:
+    """Exact sum of decimals; a sum over the range is an error in any mode; NULL if none."""
+    total, n = F.sum(_c(c)), F.count(_c(c))
+    return F.when(total.isNotNull() | (n == 0), total).otherwise(
+        F.raise_error(F.lit("sum outside of " + MONEY)).cast(MONEY))
 
 
 def cents_sum(c: ColumnOrName) -> Column:
-    """Exact sum of a money column (two decimals) as a double; NULL if none."""
-    return F.sum(cents(c)).cast("double") / F.lit(100.0)
+    """Exact sum of a money column as a double; NULL if none."""
+    return money_total(money(c)).cast("double")
 
 
 def cents_mean(c: ColumnOrName) -> Column:
-    """Exact mean of a money column: exact cent sum divided by the count."""
+    """Exact mean of a money column: exact sum divided by the count."""
     n = F.count(_c(c))
     return F.when(n > 0, cents_sum(c) / n)
 

@@ -59,7 +59,7 @@ def surrogate_key(df: DataFrame, by: str | Sequence[str], key_name: str,
         "_sk_bucket", F.coalesce(F.sum("_sk_n").over(before), F.lit(0)).alias("_sk_offset"))
     out = (tagged.withColumn("_sk_bucket", bucket).withColumn("_sk_pos", position)
            .join(F.broadcast(offsets), "_sk_bucket")
-           .withColumn(key_name, (F.col("_sk_offset") + F.col("_sk_pos") + 1).cast("int")))
+           .withColumn(key_name, (F.col("_sk_offset") + F.col("_sk_pos") + 1).cast("long")))
     return out.select(key_name, *df.columns)
 
 

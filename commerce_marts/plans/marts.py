@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_marts.functions import cents_mean, cents_sum, pct, price_band, round_half_up
-from commerce_marts.functions.scalar import DEFAULT_BAND_CUTS, cents
+from commerce_marts.functions.scalar import DEFAULT_BAND_CUTS, money, money_total
 from commerce_marts.plans.warehouse import (
     delivery_columns,
     order_payments_agg,
@@ -87,22 +87,21 @@ def mart_sales_by_region(oij: DataFrame, customers: DataFrame) -> DataFrame:
     per_order = j.groupBy("customer_state", "customer_city", "order_id",
                           "customer_unique_id").agg(
         F.count(F.lit(1)).alias("_items"),
-        F.sum(cents("price")).alias("_price_c"), F.count("price").alias("_price_n"),
-        F.sum(cents("freight_value")).alias("_freight_c"),
+        money_total(money("price")).alias("_price_s"), F.count("price").alias("_price_n"),
+        money_total(money("freight_value")).alias("_freight_s"),
         F.sum("review_score").alias("_rev_s"), F.count("review_score").alias("_rev_n"),
         F.sum("days_to_deliver").alias("_days_s"), F.count("days_to_deliver").alias("_days_n"),
         F.sum("delivery_delay_days").alias("_delay_s"),
         F.count("delivery_delay_days").alias("_delay_n"),
         _late().alias("_late"))
-    revenue = F.sum("_price_c").cast("double") / F.lit(100.0)
+    revenue = money_total("_price_s").cast("double")
     n_orders = F.count(F.lit(1))
     return per_order.groupBy("customer_state", "customer_city").agg(
         n_orders.alias("total_orders"),
         F.sum("_items").alias("total_items"),
         F.count_distinct("customer_unique_id").alias("unique_customers"),
         round_half_up(revenue, 2).alias("total_revenue"),
-        round_half_up(F.sum("_freight_c").cast("double") / F.lit(100.0), 2)
-        .alias("total_freight"),
+        round_half_up(money_total("_freight_s").cast("double"), 2).alias("total_freight"),
         round_half_up(revenue / n_orders, 2).alias("avg_order_value"),
         round_half_up(F.when(F.sum("_price_n") > 0, revenue / F.sum("_price_n")), 2)
         .alias("avg_item_price"),
@@ -127,19 +126,18 @@ def mart_product_performance(oij: DataFrame, products_enriched: DataFrame) -> Da
                                           "product_weight_g"), "product_id")
     per_product = j.groupBy(*groups, "product_id").agg(
         F.count(F.lit(1)).alias("_items"),
-        F.sum(cents("price")).alias("_price_c"), F.count("price").alias("_price_n"),
-        F.sum(cents("freight_value")).alias("_freight_c"),
+        money_total(money("price")).alias("_price_s"), F.count("price").alias("_price_n"),
+        money_total(money("freight_value")).alias("_freight_s"),
         F.sum("review_score").alias("_rev_s"), F.count("review_score").alias("_rev_n"),
         F.sum("product_weight_g").alias("_w_s"), F.count("product_weight_g").alias("_w_n"))
-    revenue = F.sum("_price_c").cast("double") / F.lit(100.0)
+    revenue = money_total("_price_s").cast("double")
     sums = per_product.groupBy(*groups).agg(
         F.sum("_items").alias("total_items_sold"),
         F.count(F.lit(1)).alias("unique_products"),
         round_half_up(revenue, 2).alias("total_revenue"),
         round_half_up(F.when(F.sum("_price_n") > 0, revenue / F.sum("_price_n")), 2)
         .alias("avg_item_price"),
-        round_half_up(F.sum("_freight_c").cast("double") / F.lit(100.0), 2)
-        .alias("total_freight"),
+        round_half_up(money_total("_freight_s").cast("double"), 2).alias("total_freight"),
         round_half_up(_ratio("_rev_s", "_rev_n"), 2).alias("avg_review_score"),
         round_half_up(_ratio("_w_s", "_w_n"), 0).alias("avg_weight_g"))
     orders = j.groupBy(*groups).agg(F.count_distinct("order_id").alias("total_orders"))

@@ -105,21 +105,21 @@ WAREHOUSE_SCHEMAS: dict[str, T.StructType] = {
         not_null=("date_key", "full_date", "year", "quarter", "month", "month_name",
                   "week_of_year", "day_of_month", "day_of_week", "day_name", "is_weekend")),
     "dim_customers": _schema(
-        ("customer_key", I), ("customer_unique_id", S), ("customer_city", S),
+        ("customer_key", L), ("customer_unique_id", S), ("customer_city", S),
         ("customer_state", S),
         not_null=("customer_key", "customer_unique_id", "customer_city", "customer_state")),
     "dim_products": _schema(
-        ("product_key", I), ("product_id", S), ("product_category_pt", S),
+        ("product_key", L), ("product_id", S), ("product_category_pt", S),
         ("product_category_en", S), ("product_weight_g", D), ("product_length_cm", D),
         ("product_height_cm", D), ("product_width_cm", D), ("avg_price", D),
         ("price_band", S),
         not_null=("product_key", "product_id", "product_category_pt")),
     "dim_sellers": _schema(
-        ("seller_key", I), ("seller_id", S), ("seller_city", S), ("seller_state", S),
+        ("seller_key", L), ("seller_id", S), ("seller_city", S), ("seller_state", S),
         not_null=("seller_key", "seller_id", "seller_city", "seller_state")),
     "fact_orders": _schema(
-        ("order_id", S), ("order_item_id", I), ("customer_key", I), ("product_key", I),
-        ("seller_key", I), ("order_date_key", I), ("order_status", S), ("price", D),
+        ("order_id", S), ("order_item_id", I), ("customer_key", L), ("product_key", L),
+        ("seller_key", L), ("order_date_key", I), ("order_status", S), ("price", D),
         ("freight_value", D), ("payment_value", D), ("review_score", I),
         ("order_purchase_date", DT), ("order_delivered_date", DT),
         ("order_estimated_date", DT), ("days_to_deliver", I), ("days_estimated", I),
