@@ -31,7 +31,7 @@ def op3_budget_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = surrogates.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = surrogates.checked(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.size("_entities").alias("n_entities"),
                        F.transform("_entities", lambda e: e["kind"]).alias("kinds"),

@@ -1,14 +1,17 @@
 """Surrogates for personal data: keyed, of the same type and format.
 
 Entities: e-mail and IP addresses, phone, card and social security numbers, access
-keys, and names after a title.  Every entity is read as a number in the mixed base
-of its format: each character's base is its class (digit, vowel or consonant of its
-script and case, accented letters).  A keyed Feistel permutation P of that range
+keys, names after a title, and every other mention of a word of such a name in the
+same document that doesn't begin in lower case.  Every entity is read as a number in
+the mixed base of its format: each character's base is its class (digit, vowel or
+consonant of its script and case, accented letters; any other letter or number by its
+Unicode block, category and case).  A keyed Feistel permutation P of that range
 gives the surrogate as P^-1(P(x) + 1): distinct entities of a format always have
 distinct surrogates, none is its own, and equal entities have equal ones in every
 document without any exchange between tasks.  ``collisions`` checks that on any
-result.  Titles, separators, the case of letters, country codes, key prefixes, card
-check digits, octet widths and the endings of names that carry gender stay.
+result, ``checked`` on the result that is written.  Titles, separators, the case of
+letters, country codes, leading zeros of phone numbers, key prefixes, card check
+digits, octet widths, combining marks and the endings of names that carry gender stay.
 
 Nulls: a null text stays null and has no entities; an empty text stays empty.
 Texts of any length are read whole.  Repeated rows get equal results; extra columns
@@ -20,6 +23,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,25 +32,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commerce_marts.llm.common import text_slices
+from commerce_marts.llm.common import text_slices, written
 
 KEY = b"surrogates"
-#: Character classes; a character of none of them is kept.
-CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäéèêëíìîïóòôöúùûü", "çñß",
+#: Character classes; letters and numbers of none of them have those of ``_others``.
+CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäéèêëíìîïóòôöúùûü", "çñ",
            "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
 _CLASS = {c: alphabet for alphabet in CLASSES for c in alphabet}
 #: Titles before names.
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Sir", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame",
           "Mme", "Mlle", "Señor", "Señora", "Sr", "Sra", "Don", "Doña", "Господин", "Госпожа")
-_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: Country codes of one and two digits; the others have three.
+_SHORT_CODES = re.compile("1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
+#: Combining marks, which ``isalnum`` lacks.
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c)[0] == "M")
+_WORD = rf"[^\W\d_](?:[^\W\d_]|[{_MARKS}]|['’\-](?=[^\W\d_])){{0,40}}"
 PATTERN = re.compile("|".join((
     r"(?P<email>(?<![\w.%+\-])[\w.%+\-]{1,64}@(?:[\w\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w\-]))",
     r"(?P<key>(?<!\w)(?:AKIA|ASIA|ghp_|sk-)[A-Za-z0-9]{16,64}(?!\w))",
     rf"(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))",
     r"(?P<ssn>(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-]))",
     r"(?P<card>(?<![\w+])\d(?:[ \-]?\d){12,18}(?!\w))",
-    r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}(?!\w))",
-    rf"(?P<name>(?<!\w)(?:{'|'.join(TITLES)})\.?[ ][^\W\d_]{{2,30}}(?:[ ][^\W\d_]{{2,30}})?(?!\w))")))
+    r"(?P<phone>(?<![\w+])(?:\+1(?:[ .\-]?\(?\d\)?){10}|\+[2-9](?:[ .\-]?\(?\d\)?){7,14}"
+    r"|(?<!\d[ .\-])0\d(?P<sep>[ .\-])\d\d(?:(?P=sep)\d\d){3}(?![ .\-]\d)"
+    r"|(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4})(?!\w))",
+    rf"(?P<name>(?<!\w)(?:{'|'.join(TITLES)})\.?[ ]{_WORD}(?:[ ]{_WORD})?(?!\w))")))
+_NAME = re.compile(_WORD)
+_POSSESSIVE = re.compile("['’][sS]$")
 
 
 def _round(key: bytes, tweak: bytes, x: int, limit: int) -> int:
@@ -89,19 +103,75 @@ def moved(digits: list[int], bases: list[int], key: bytes, tweak: str) -> list[i
     return out[::-1]
 
 
+def _small(c: str) -> str:
+    """The lower case of a letter that has one to return from; any other character itself."""
+    low = c.lower()
+    return low if len(low) == 1 and low.upper() == c else c
+
+
+@lru_cache(1)
+def _others() -> dict[str, str]:
+    """The class of every letter and number outside ``CLASSES``: those of its script, category
+    and case in its 128 code points, or, where these are few, in all of them."""
+    fine, coarse, rest = defaultdict(list), defaultdict(list), defaultdict(list)
+    for c in map(chr, range(0x80, 0x32400)):
+        category = unicodedata.category(c)
+        if category[0] in "LN" and c not in _CLASS and _small(c) == c:
+            script = unicodedata.name(c, "").split(" ")[0].split("-")[0]
+            cased = len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c
+            fine[ord(c) >> 7, script, category, cased].append(c)
+    for key, own in fine.items():
+        if len(own) < 8:
+            coarse[key[1:]] += own
+    for key, own in coarse.items():
+        if len(own) < 2:
+            rest[key[-1]] += own
+    for cased, own in rest.items():
+        if len(own) == 1:  # a class of one could not move: it joins the first one of its case
+            rest[cased] = []
+            next(g for k, g in fine.items() if k[-1] == cased and len(g) >= 8).extend(own)
+    groups = [*(g for g in fine.values() if len(g) >= 8),
+              *(g for g in coarse.values() if len(g) >= 2), *rest.values()]
+    return {c: "".join(g) for g in groups for c in g}
+
+
+def _class(c: str) -> str | None:
+    return _CLASS.get(c) or (_others().get(c) if c > "\x7f" else None)
+
+
 def shaped(text: str, key: bytes, tweak: str) -> str:
     """Each character moves within its class; case and other characters stay."""
-    low = [c.lower() if len(c.lower()) == 1 else c for c in text]
-    at = [i for i, c in enumerate(low) if c in _CLASS]
-    alphabets = [_CLASS[low[i]] for i in at]
+    low = [_small(c) for c in text]
+    classes = [_class(c) for c in low]
+    at = [i for i, a in enumerate(classes) if a]
+    alphabets = [classes[i] for i in at]
     new = moved([a.index(low[i]) for i, a in zip(at, alphabets)], list(map(len, alphabets)), key,
-                f"{tweak}|{''.join(_CLASS[c][0] if c in _CLASS else c for c in low)}")
+                f"{tweak}|{''.join(a[0] if a else c for a, c in zip(classes, low))}")
     out = list(text)
     for i, a, d in zip(at, alphabets, new):
         out[i] = a[d].upper() if text[i] != low[i] else a[d]
     return "".join(out)
 
 
+def _called(word: str, key: bytes) -> str:
+    """The surrogate of a word of a name; the last letter carries gender in many languages."""
+    last = word[-1]
+    if len(word) > 1 and last.lower() != last.upper() and any(map(_class, map(_small, word[:-1]))):
+        return shaped(word[:-1], key, f"name|{last.lower()}") + last
+    return shaped(word, key, "name|")
+
+
+def _dialled(number: list[int], key: bytes) -> list[int]:
+    """A phone number without its country code; leading zeros stay, up to two."""
+    zeros = min(2, next((i for i, d in enumerate(number) if d), len(number)), len(number) - 1)
+    rest = number[zeros:]
+    if zeros == 2 or not rest[0]:
+        return number[:zeros] + moved(rest, [10] * len(rest), key, f"phone|0|{len(rest)}")
+    first, *more = moved([rest[0] - 1, *rest[1:]], [9] + [10] * (len(rest) - 1), key,
+                         f"phone|{len(rest)}")
+    return [*number[:zeros], first + 1, *more]
+
+
 def _luhn(digits: str) -> int:
     return sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits))) % 10
 
@@ -128,10 +198,9 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
         head = re.match("AKIA|ASIA|ghp_|sk-", text).group()
         return head + shaped(text[len(head):], key, f"key{head}{[c.isupper() for c in text]}")
     if kind == "name":
-        title, rest = text.split(" ", 1)
-        # the last letter carries gender in many languages
-        return f"{title} " + " ".join(shaped(w[:-1], key, f"name|{w[-1].lower()}") + w[-1]
-                                      for w in rest.split(" "))
+        title, rest = text.split(" ", 1) if " " in text else ("", text)
+        new = re.sub("[^ -]+", lambda w: _called(w.group(), key), rest)
+        return f"{title} {new}" if title else new
     digits = "".join(c for c in text if c.isdigit())
     if kind == "card":
         valid = _luhn(digits) == 0
@@ -141,29 +210,63 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
             new += str(-_luhn(new + "0") % 10)
         return _put_digits(text, new)
     if kind == "phone":
-        own = min(len(digits), 10) if text.startswith("+") or len(digits) >= 10 else len(digits)
-        return _put_digits(text, digits[:-own] + shaped(digits[-own:], key, "phone"))
+        if text.startswith("+"):
+            values = "".join(str(unicodedata.decimal(c)) for c in digits)
+            code = _SHORT_CODES.match(values)
+            own = len(digits) - (code.end() if code else 3)
+        else:
+            own = min(len(digits), 10)
+        new = _dialled([unicodedata.decimal(c) for c in digits[-own:]], key)
+        return _put_digits(text, digits[:-own] + "".join(
+            chr(ord(c) - unicodedata.decimal(c) + d) for c, d in zip(digits[-own:], new)))
     return _put_digits(text, shaped(digits, key, kind))
 
 
 def replaced(text: str, key: bytes = KEY) -> tuple[str, list[dict]]:
     """The text with surrogates, and (kind, start, value, surrogate) of each entity;
     start is in code points of the given text."""
-    found, out, last = [], [], 0
+    spans = []
     for m in PATTERN.finditer(text):
         kind, value = m.lastgroup, m.group()
-        if kind == "name" and not all(w[0].isupper() for w in value.split(" ")[1:]):
+        if kind == "name":
             words = value.split(" ")
-            if not words[1][0].isupper():
+            if words[1][0].islower():
                 continue
-            value = " ".join(words[:2])
+            if len(words) > 2 and (words[2][0].islower() or _POSSESSIVE.search(words[1])):
+                words = words[:2]
+            value = _POSSESSIVE.sub("", " ".join(words))
+        spans.append((m.start(), kind, value))
+    names = {w.lower() for _, kind, value in spans if kind == "name"
+             for w in re.split("[ -]", value)[1:] if w}
+    if names:
+        spans = _with_mentions(text, spans, names)
+    found, out, last = [], [], 0
+    for start, kind, value in spans:
         new = surrogate(kind, value, key)
-        out += [text[last:m.start()], new]
-        last = m.start() + len(value)
-        found.append({"kind": kind, "start": m.start(), "value": value, "surrogate": new})
+        out += [text[last:start], new]
+        last = start + len(value)
+        found.append({"kind": kind, "start": start, "value": value, "surrogate": new})
     return "".join([*out, text[last:]]), found
 
 
+def _with_mentions(text: str, spans: list[tuple], names: set[str]) -> list[tuple]:
+    """``spans`` and, between them, the words of ``names`` that stand without a title."""
+    out, last = [], 0
+    for span in [*spans, (len(text), "", "")]:
+        for m in _NAME.finditer(text, last, span[0]):
+            for part in re.finditer("[^-]+", m.group()):
+                at, word = m.start() + part.start(), _POSSESSIVE.sub("", part.group())
+                own = [(at, word)] if word.lower() in names else [
+                    (at + p.start(), p.group()) for p in re.finditer("[^'’]+", word)
+                    if p.group().lower() in names]
+                out += [(i, "name", w) for i, w in own if not w[0].islower()
+                        and not re.match(r"\w", text[i - 1:i] if i else "")
+                        and not re.match(r"\w", text[i + len(w):i + len(w) + 1])]
+        out.append(span)
+        last = span[0] + len(span[2])
+    return out[:-1]
+
+
 ENTITY = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("value", pa.string()),
                     ("surrogate", pa.string())])
 
@@ -189,10 +292,25 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
 def collisions(replaced_docs: DataFrame) -> DataFrame:
     """Surrogates that stand for several entities, and entities that kept their value or
-    have several surrogates: no rows when distinctness and coreference hold."""
+    have several surrogates: no rows when distinctness and coreference hold.  The case of
+    a to z counts in access keys only, that of other letters always."""
+    def fold(c: str) -> F.Column:
+        small = F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        return F.when(F.col("e.kind") == "key", F.col(c)).otherwise(small)
+
     e = replaced_docs.select(F.explode("_entities").alias("e")).select(
-        "e.kind", F.lower("e.value").alias("value"), F.lower("e.surrogate").alias("surrogate")).distinct()
+        "e.kind", fold("e.value").alias("value"), fold("e.surrogate").alias("surrogate")).distinct()
     by = [e.groupBy("kind", F.col(a).alias("of")).agg(F.count("*").alias("n")).where("n > 1")
           for a in ("value", "surrogate")]
     same = e.where("value = surrogate").select("kind", F.col("value").alias("of"), F.lit(1).alias("n"))
     return by[0].unionByName(by[1]).unionByName(same)
+
+
+def checked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+    """``with_surrogates``, written, and an error if ``collisions`` finds any row in it;
+    it groups the distinct entities in hash buckets of the entity and of the surrogate."""
+    done = written(with_surrogates(docs, key), "surrogates")
+    bad = collisions(done).agg(F.count("*").alias("n"), F.min("kind").alias("kind")).first()
+    if bad["n"]:
+        raise ValueError(f"{bad['n']} surrogates collide or kept their value, kind {bad['kind']} first")
+    return done
