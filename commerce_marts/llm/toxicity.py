@@ -5,7 +5,9 @@ Kernel: gap-weighted subsequences of 3 and 4 characters of a lower-cased word
 skipped character costs ``DECAY``, so an insult with gaps or inserted characters
 stays close to the plain one.  A word's kernel is scaled by what a word of its
 length can reach.  Characters that are no letters are dropped inside a word, and
-runs of three or more single letters are read as one word more.
+runs of three or more single letters, over tokens without letters too, are read
+as one word more.  A long word is learned from and scored in the same overlapping
+pieces.
 
 Training: a bounded sample of labelled documents (``MAX_DOCS`` of each class, the
 first by a hash of doc_id).  Words of sentences in clean documents are clean; a
@@ -126,19 +128,29 @@ def spellings(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     single = np.fromiter((len(x) == 1 for x in names), bool, len(names))[idx] if len(idx) else \
         np.zeros(0, bool)
     if single.any():
+        # tokens without letters, as in i - d - i - o - t, don't end a run
+        lettered = np.flatnonzero(np.fromiter((len(x) > 0 for x in names), bool, len(names))[idx])
+        single, run_idx, run_doc = single[lettered], idx[lettered], doc[lettered]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]]).astype(np.int8)))
         more, of = [], []
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-            for part in np.split(np.arange(a, b), np.flatnonzero(np.diff(doc[a:b])) + 1):
+            for part in np.split(np.arange(a, b), np.flatnonzero(np.diff(run_doc[a:b])) + 1):
                 if len(part) >= 3:
-                    more.append("".join(names[idx[i]] for i in part))
-                    of.append(int(doc[part[0]]))
+                    more.append("".join(names[run_idx[i]] for i in part))
+                    of.append(int(run_doc[part[0]]))
         idx = np.concatenate([idx, np.arange(len(names), len(names) + len(more))])
         doc = np.concatenate([doc, np.array(of, np.int64)])
         names = names + more
     return names, idx, doc
 
 
+def pieces(word: str) -> list[str]:
+    """A word as the fit and the scorer read it: whole, or in overlapping pieces if long."""
+    if len(word) <= PIECE:
+        return [word]
+    return [word[i:i + PIECE] for i in range(0, len(word), PIECE // 2)]
+
+
 class Scorer:
     def __init__(self, keys: np.ndarray, weights: np.ndarray, bias: float):
         self.keys, self.weights, self.bias = keys, weights, bias
@@ -159,8 +171,7 @@ class Scorer:
                 best = -np.inf
                 for a in range(0, len(w), PIECE // 2 * 1000):
                     block = w[a:a + PIECE // 2 * 1001]
-                    pieces = [block[i:i + PIECE] for i in range(0, len(block), PIECE // 2)]
-                    best = max(best, float(project(pieces, self.keys, self.weights).max()))
+                    best = max(best, float(project(pieces(block), self.keys, self.weights).max()))
                 self.known[w] = best
         return np.fromiter((self.known[w] for w in names), float, len(names)) + self.bias
 
@@ -196,11 +207,19 @@ def _document_words(docs: DataFrame) -> DataFrame:
             for part in text_slices(batch):
                 names, idx, doc = spellings(part.column("text"))
                 pair = np.unique(np.stack([doc, idx]), axis=1)
-                row = pa.array(pair[0])
-                word = pa.array([w[:PIECE] for w in names], pa.string()).take(pa.array(pair[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(row), part.column("toxic").take(row), word],
-                    names=["doc_id", "toxic", "word"])
+                own = [pieces(w) for w in names]
+                first = np.cumsum([0, *map(len, own)])
+                flat = pa.array([p for ps in own for p in ps], pa.string())
+                size = np.diff(first)[pair[1]]
+                ends = np.cumsum(size)
+                for a in range(0, len(size), BLOCK):  # pieces of so many words at a time
+                    n = size[a:a + BLOCK]
+                    row = pa.array(np.repeat(pair[0][a:a + BLOCK], n))
+                    at = np.arange(n.sum()) - np.repeat(ends[a:a + BLOCK] - n - (ends[a] - size[a]), n)
+                    word = flat.take(pa.array(np.repeat(first[pair[1][a:a + BLOCK]], n) + at))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id").take(row), part.column("toxic").take(row), word],
+                        names=["doc_id", "toxic", "word"])
 
     return docs.select("doc_id", "toxic", F.col("text").cast("string")).mapInArrow(
         split, "doc_id long, toxic int, word string").where("length(word) > 1").distinct()
