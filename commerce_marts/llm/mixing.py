@@ -40,6 +40,8 @@ MAX_REPEAT = 3
 SEED = 17
 #: Sums up to this are fitted exactly; the knapsack table has as many bits.
 TABLE = 1 << 15
+#: Fixed value: bits that the sums of a second, wider fit may hold, 256 MB.
+MOST_BITS = 1 << 31
 #: Hash buckets over which the documents of one (source, length) are ranked.
 BUCKETS = 1024
 
@@ -104,10 +106,28 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int = TABLE
     taken = np.array([int(x) for x in exact], np.int64)
     taken[lengths <= 0] = 0
     rest = budget - int((taken * lengths).sum())
-    order = np.lexsort((lengths, -(np.array(exact) - taken)))
+    order = np.lexsort((lengths, -(np.array(exact) - taken))).tolist()
+    best = _filled(lengths, counts, taken, rest, order, table)
+    free = (counts > taken) & (lengths > 0) & (lengths <= rest)
+    if rest > table and int((best * lengths).sum()) < budget and free.any():
+        # off target: the whole rest, or twice the longest document, in steps all lengths share
+        step = int(np.gcd.reduce(lengths[free]))
+        parts = int(sum(min(c, rest // n).bit_length() for c, n in zip(
+            (counts - taken)[free].tolist(), lengths[free].tolist())))
+        wide = rest if rest // step * parts <= MOST_BITS else 2 * int(lengths[free].max())
+        if wide > table:
+            again = _filled(lengths, counts, taken, rest, order, wide, step)
+            best = max(best, again, key=lambda t: int((t * lengths).sum()))
+    return best
+
+
+def _filled(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, rest: int,
+            order: list[int], table: int, step: int = 1) -> np.ndarray:
+    """``taken`` and documents in ``order`` until the table holds the rest, fitted exactly."""
+    taken = taken.copy()
     while rest > table:
         before = rest
-        for i in order.tolist():
+        for i in order:
             if taken[i] < counts[i] and 0 < lengths[i] <= rest:
                 taken[i] += 1
                 rest -= int(lengths[i])
@@ -115,7 +135,8 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int = TABLE
                     break
         if rest == before:
             break
-    return taken + knapsack(lengths, counts - taken, min(rest, table))
+    return taken + knapsack(np.where(lengths <= rest, lengths // step, 0), counts - taken,
+                            min(rest, table) // step)
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
