@@ -117,8 +117,8 @@ def raw_order_items(spark: SparkSession, sf_dir: str, corrupt_dates: bool = Fals
     li = driver_table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey")
     ship = _s(F.to_date("l_shipdate"))
-    # items of every fortieth part go to the part before it, which leaves unsold products
-    part = F.col("l_partkey") - F.when(F.col("l_partkey") % 40 == 0, 1).otherwise(0)
+    # items of every fortieth part go to the part after it, which leaves unsold products
+    part = F.col("l_partkey") + F.when(F.col("l_partkey") % 40 == 0, 1).otherwise(0)
     df = li.select(
         _s(key).alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
