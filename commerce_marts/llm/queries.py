@@ -11,7 +11,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_marts.llm import katz, mixing, ngram_join, packing, substring_dedup, surrogates, topk, toxicity, warc, winnowing
+from commerce_marts.llm import (katz, mixing, ngram_join, packing, prefix_trie, substring_dedup,
+                                surrogates, topk, toxicity, warc, winnowing)
 from commerce_marts.llm.common import table
 
 
@@ -70,3 +71,7 @@ def op9_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))

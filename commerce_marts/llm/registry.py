@@ -25,6 +25,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     q.op8_winnowing_fingerprints,
     q.op9_warc_boundary_chain,
     q.op10_katz_backoff,
+    q.op13_conversation_prefix_trie,
 )}
 
 #: Base32 of a SHA-1 in hex: five hex digits are twenty bits are four digits.
@@ -33,6 +34,12 @@ _BASE32 = " || ".join(
     f"1 + ((('0x' || substr(h, {5 * g + 1}, 5))::BIGINT >> {s}) & 31)::INT, 1)"
     for g in range(8) for s in (15, 10, 5, 0))
 
+#: Unsigned CRC-32 of the decimal digits of ``c``: a list of bytes, each with seven zeros behind
+#: it, is folded a bit at a time.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split(c::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, b: xor(xor(a, b) // 2, 3988292384 * (xor(a, b) % 2))), 4294967295)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op6_block_max_topk": """
         with v as (select vec_id, list_transform(embedding,
@@ -54,4 +61,38 @@ ORACLE_SQL: dict[str, str] = {
         select page_id, payload_bytes, payload_digest,
                case when page_id = last then 'response' else 'revisit' end as record_type,
                case when page_id = last then null else last end as refers_to from b""",
+    "op13_conversation_prefix_trie": f"""
+        with t as (select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text
+                   from conversations where conv_id is not null),
+        d as (select c, turn, length(text) as chars,
+                     md5(length(role) || ':' || role || text) as digest from t),
+        o as (select *, row_number() over (partition by c order by turn nulls first, digest) as pos
+              from d),
+        h as (select distinct c, {_CRC32} % 6 as h from o),
+        r as (select h.c, o.pos, o.digest, o.chars from h join o on o.c = h.c - h.c % 100
+              where o.pos <= h.h
+              union all select h.c, o.pos, o.digest, o.chars from h join o using (c) where o.pos > h.h),
+        p as (select c, list(digest order by pos) as path, list(chars order by pos) as sizes
+              from r group by c),
+        m as (select h.c, coalesce(path, []) as path, coalesce(sizes, []) as sizes
+              from h left join p using (c)),
+        x as (select c, depth, path[:depth] as node, len(path) = depth as ends,
+                     case when depth > 0 then sizes[depth] else 0 end as chars
+              from (select *, unnest(range(len(path) + 1)) as depth from m)),
+        n as (select node, depth, min(c) as c, count(*) as n_convs,
+                     (count(*) - 1) * min(chars) as saved,
+                     sha256(coalesce(string_agg(c::VARCHAR, ',' order by c) filter (ends), ''))
+                         as ends_sha256
+              from x group by node, depth),
+        k as (select node[:depth - 1] as node, count(*) as n_children from n where depth > 0
+              group by 1),
+        a as (select node[:up] as node, sum(saved) as saved, sum(leaf) as leaves
+              from (select n.node, saved, case when n_children is null then 1 else 0 end as leaf,
+                           unnest(range(depth + 1)) as up from n left join k using (node))
+              group by 1)
+        select n.c::BIGINT as conv_id, n.depth::BIGINT as depth, u.c::BIGINT as parent_conv_id,
+               n.n_convs::BIGINT as n_convs, coalesce(n_children, 0)::BIGINT as n_children,
+               a.leaves::BIGINT as n_leaves, a.saved::BIGINT as saved_tokens, n.ends_sha256
+        from n join a using (node) left join k using (node)
+        left join n u on n.depth > 0 and u.depth = n.depth - 1 and u.node = n.node[:n.depth - 1]""",
 }
