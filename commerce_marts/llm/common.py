@@ -47,14 +47,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate rows that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df: DataFrame, name: str, by: str | None = None, layout: str | None = None,
+            path: str | None = None) -> DataFrame:
     """``df`` as a table written under the shared folder: cuts the lineage and
     fixes the rows, so later reads neither recompute nor see other rows.  The shuffle
     files behind it go when the table is there, as nothing reads them again.  ``by``
-    names a column whose buckets lay the table out, so that joins on it need no exchange."""
+    names a column whose buckets lay the table out, so that joins on it need no exchange;
+    ``layout`` one whose values are folders, so that a filter on it reads only these."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
     out = df.write.option("compression", "zstd")
+    if layout:
+        out = out.partitionBy(layout)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:

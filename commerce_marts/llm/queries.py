@@ -11,8 +11,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_marts.llm import (katz, mixing, ngram_join, packing, prefix_trie, substring_dedup,
-                                surrogates, topk, toxicity, warc, winnowing)
+from commerce_marts.llm import (collocations, katz, mixing, ngram_join, packing, prefix_trie,
+                                secret_scan, substring_dedup, surrogates, topk, toxicity, warc,
+                                winnowing)
 from commerce_marts.llm.common import table
 
 
@@ -73,5 +74,18 @@ def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents"))
 
 
+def op11_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["kind"] < 3)
+    of = {k: F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long") for k in range(3)}
+    return found.select("doc_id", of[0].alias("n_assign"), of[1].alias("n_access"), of[2].alias("n_hex"),
+                        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+                        secret_scan.joined("found").alias("spans"))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))

@@ -25,6 +25,8 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     q.op8_winnowing_fingerprints,
     q.op9_warc_boundary_chain,
     q.op10_katz_backoff,
+    q.op11_collocation_mining,
+    q.op12_secret_scan,
     q.op13_conversation_prefix_trie,
 )}
 
@@ -95,4 +97,35 @@ ORACLE_SQL: dict[str, str] = {
                a.leaves::BIGINT as n_leaves, a.saved::BIGINT as saved_tokens, n.ends_sha256
         from n join a using (node) left join k using (node)
         left join n u on n.depth > 0 and u.depth = n.depth - 1 and u.node = n.node[:n.depth - 1]""",
+    "op11_collocation_mining": """
+        with d as (select coalesce(lang, 'und') as lang,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') as text from documents),
+        p as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+              from (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece
+                    from d)),
+        q as (select lang, w, unnest(range(1, len(w) + 1)) as i from p),
+        g as (select lang, w[i:i] as g from q
+              union all select lang, w[i:i + 1] from q where i < len(w)
+              union all select lang, w[i:i + 2] from q where i + 1 < len(w)),
+        f as (select lang, array_to_string(g, ' ') as phrase, g, count(*) as c from g
+              group by lang, g having c >= 10),
+        n as (select lang, sum(len(w))::BIGINT as n from p group by lang),
+        k as (select lang, phrase, c as a, cut, array_to_string(g[:cut], ' ') as head,
+                     array_to_string(g[cut + 1:], ' ') as tail
+              from (select *, unnest(range(1, len(g))) as cut from f)),
+        s as (select k.lang, k.phrase, a, cut, x.c as l, y.c as r,
+                     (1000000::HUGEINT * a * a) // (x.c::HUGEINT * y.c) as score
+              from k join f x on x.lang = k.lang and x.phrase = k.head
+                     join f y on y.lang = k.lang and y.phrase = k.tail),
+        b as (select * from s
+              qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+        o as (select lang, phrase, max(c) as longer
+              from (select lang, unnest([array_to_string(g[1:2], ' '), array_to_string(g[2:3], ' ')])
+                           as phrase, c from f where len(g) = 3) group by lang, phrase),
+        t as (select b.* from b left join o using (lang, phrase)
+              where longer is null or 100 * longer < 50 * a)
+        select lang, rank, phrase, a::BIGINT as a, l::BIGINT as l, r::BIGINT as r, n, score::BIGINT as score
+        from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+              from t) join n using (lang) where rank <= 2000""",
 }
