@@ -69,36 +69,52 @@ def pieces_and_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def chunks(docs: DataFrame, shards: int) -> DataFrame:
-    """shard, lang, n (words), texts and hashes of the distinct words, ids (words as places
-    among them), joint (bits: whether a word and the next are in one piece)."""
+    """shard, lang, g (hash of lang), n (words), texts and hashes of the distinct words, ids
+    (words as places among them), joint (bits: whether a word and the next are in one piece)."""
+
+    def row(turn: int, name: str, texts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        flat, piece = pieces_and_words(pa.concat_arrays(texts))
+        if not len(flat):
+            return
+        distinct = flat.dictionary_encode()
+        seed = xxhash.xxh3_64_intdigest(name)
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) or 1 for w in
+                              distinct.dictionary.cast(pa.binary()).to_pylist()),
+                             np.uint64, len(distinct.dictionary))
+        ids = distinct.indices.to_numpy().astype(np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([turn % shards], pa.int32()), pa.array([name]),
+             pa.array(signed(np.array([seed], np.uint64))), pa.array([len(ids)]),
+             pa.array([distinct.dictionary.to_pylist()], pa.list_(pa.string())),
+             *(pa.array([x.tobytes()], pa.binary()) for x in (
+                 hashes, ids, np.packbits(piece[1:] == piece[:-1])))],
+            names=["shard", "lang", "g", "n", "texts", "hashes", "ids", "joint"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = TaskContext.get().partitionId()
+        waiting: dict[str, list[pa.Array]] = {}
+        size: dict[str, int] = {}
         for batch in batches:
             for part in text_slices(batch, max_bytes=CHUNK_BYTES):
                 lang = part.column("lang")
                 for name in pc.unique(lang).to_pylist():
-                    flat, piece = pieces_and_words(part.column("text").filter(pc.equal(lang, name)))
-                    if not len(flat):
-                        continue
-                    distinct = flat.dictionary_encode()
-                    seed = xxhash.xxh3_64_intdigest(name)
-                    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) or 1 for w in
-                                          distinct.dictionary.cast(pa.binary()).to_pylist()),
-                                         np.uint64, len(distinct.dictionary))
-                    ids = distinct.indices.to_numpy().astype(np.uint32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([turn % shards], pa.int32()), pa.array([name]), pa.array([len(ids)]),
-                         pa.array([distinct.dictionary.to_pylist()], pa.list_(pa.string())),
-                         *(pa.array([x.tobytes()], pa.binary()) for x in (
-                             hashes, ids, np.packbits(piece[1:] == piece[:-1])))],
-                        names=["shard", "lang", "n", "texts", "hashes", "ids", "joint"])
-                turn += 1
+                    own = part.column("text").filter(pc.equal(lang, name))
+                    waiting.setdefault(name, []).append(own)
+                    size[name] = size.get(name, 0) + own.nbytes
+                # a language's chunk is full, or there are many languages with a little each
+                all_of_them = sum(size.values()) > 4 * CHUNK_BYTES
+                for name in [n for n, x in size.items() if all_of_them or x > CHUNK_BYTES]:
+                    yield from row(turn, name, waiting.pop(name))
+                    del size[name]
+                    turn += 1
+        for name, texts in waiting.items():
+            yield from row(turn, name, texts)
+            turn += 1
 
     out = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                       F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")).mapInArrow(
-        encode, "shard int, lang string, n long, texts array<string>, hashes binary, ids binary, "
-                "joint binary")
+        encode, "shard int, lang string, g long, n long, texts array<string>, hashes binary, "
+                "ids binary, joint binary")
     return written(out, "phrase-chunks", layout="shard")
 
 
@@ -129,7 +145,7 @@ def _active(a: np.ndarray, b: np.ndarray, step: int, shards: int) -> np.ndarray:
 
 
 def shard_counts(encoded: DataFrame, step: int, shards: int, longest: int, marks) -> DataFrame:
-    """w1.., n: counts of the phrases active at ``step`` in its shard, one row for each chunk."""
+    """g, w1.., n: counts of the phrases active at ``step`` in its shard, one row for each chunk."""
     names = [f"w{i}" for i in range(1, longest + 1)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,8 +172,9 @@ def shard_counts(encoded: DataFrame, step: int, shards: int, longest: int, marks
                         found = np.bincount(gram, minlength=len(live))[live]
                         full = [signed(w[live]) for w in words]
                         full += [np.zeros(len(found), np.int64)] * (longest - n)
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*full, found)],
-                                                         names=[*names, "n"])
+                        lang = pa.array(np.full(len(found), batch.column("g")[k].as_py()))
+                        yield pa.RecordBatch.from_arrays(
+                            [lang, *(pa.array(x) for x in (*full, found))], names=["g", *names, "n"])
                     if n == longest:
                         break
                     mark = tables[n - 1][_slot(words)]
@@ -166,14 +183,14 @@ def shard_counts(encoded: DataFrame, step: int, shards: int, longest: int, marks
                         break
                     at, gram = at[there], gram[there]
 
-    return encoded.where(F.col("shard") == step % shards).select("hashes", "ids", "joint").mapInArrow(
-        count, ", ".join(f"{w} long" for w in names) + ", n long")
+    return encoded.where(F.col("shard") == step % shards).select(
+        "g", "hashes", "ids", "joint").mapInArrow(count, "g long, " + ", ".join(f"{w} long" for w in names) + ", n long")
 
 
 def frequent(encoded: DataFrame, longest: int, threshold: int, shards: int = SHARDS) -> DataFrame:
-    """w1.., c: every phrase of up to ``longest`` words that occurs ``threshold`` times or more."""
+    """g, w1.., c: every phrase of up to ``longest`` words that occurs ``threshold`` times or more."""
     spark = encoded.sparkSession
-    names = [f"w{i}" for i in range(1, longest + 1)]
+    names = ["g", *(f"w{i}" for i in range(1, longest + 1))]
     tables = [np.zeros(1 << SLOT_BITS, np.uint32) for _ in range(longest - 1)]
     state, path, latest = None, None, -1
     for step in range(longest * shards):
@@ -223,7 +240,7 @@ def _part(columns: list[str], longest: int, name: str) -> list[F.Column]:
 
 
 def scored(counts: DataFrame, longest: int) -> DataFrame:
-    """w1.., a, l, r, score: each phrase of two words or more at its lowest-scoring cut."""
+    """g, w1.., a, l, r, score: each phrase of two words or more at its lowest-scoring cut."""
     keys = [f"w{i}" for i in range(1, longest + 1)]
 
     def looked_up(phrases: DataFrame, columns: list[str], name: str) -> DataFrame:
@@ -248,7 +265,7 @@ def scored(counts: DataFrame, longest: int) -> DataFrame:
             for k in range(1, n)]
         best = F.array_min(F.array(*cuts))
         own = own.withColumn("square", square.cast(wide.format(38))).withColumn("best", best)
-        own = own.select(*keys, "a", "best.l", "best.r", F.col("best.score").cast("long").alias("score"))
+        own = own.select("g", *keys, "a", "best.l", "best.r", F.col("best.score").cast("long").alias("score"))
         out = own if out is None else out.unionByName(own)
     return out
 
@@ -271,7 +288,7 @@ def uncovered(phrases: DataFrame, longest: int, share: int) -> DataFrame:
 
 
 def dictionary(encoded: DataFrame, needed: DataFrame) -> DataFrame:
-    """word, lang, text of the words in ``needed`` (column word)."""
+    """word, text of the words in ``needed`` (column word, distinct)."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = shared.value
@@ -280,9 +297,8 @@ def dictionary(encoded: DataFrame, needed: DataFrame) -> DataFrame:
                 hashes = np.frombuffer(batch.column("hashes")[k].as_buffer(), np.uint64)
                 at = np.flatnonzero(some[_slot([hashes])])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(hashes[at])), pa.array([batch.column("lang")[k].as_py()] * len(at),
-                                                            pa.string()),
-                     batch.column("texts")[k].values.take(pa.array(at))], names=["word", "lang", "text"])
+                    [pa.array(signed(hashes[at])), batch.column("texts")[k].values.take(pa.array(at))],
+                    names=["word", "text"])
 
     spark = encoded.sparkSession
     slots = needed.select(F.shiftrightunsigned("word", 64 - SLOT_BITS).cast("int").alias("slot")
@@ -290,14 +306,11 @@ def dictionary(encoded: DataFrame, needed: DataFrame) -> DataFrame:
     table = np.zeros(1 << SLOT_BITS, bool)
     table[slots] = True
     shared = spark.sparkContext.broadcast(table)
-    spelled = (encoded.select("lang", "hashes", "texts")
-               .mapInArrow(spell, "word long, lang string, text string").groupBy("word")
-               .agg(F.min("text").alias("text"), F.max("text").alias("other"),
-                    F.min("lang").alias("lang"), F.max("lang").alias("lang2")))
-    same = (F.col("text") == F.col("other")) & (F.col("lang") == F.col("lang2"))
-    return needed.join(spelled, "word").select(
-        "word", "lang", F.when(same, F.col("text")).otherwise(
-            F.raise_error(F.lit("two words have one hash")).cast("string")).alias("text"))
+    spelled = (encoded.select("hashes", "texts").mapInArrow(spell, "word long, text string")
+               .groupBy("word").agg(F.min("text").alias("text"), F.max("text").alias("other")))
+    return needed.join(spelled, "word").select("word", F.when(
+        F.col("text") == F.col("other"), F.col("text")).otherwise(
+        F.raise_error(F.lit("two words have one hash")).cast("string")).alias("text"))
 
 
 def collocations(docs: DataFrame, longest: int = 3, threshold: int = 10, share: int = 50,
@@ -306,18 +319,17 @@ def collocations(docs: DataFrame, longest: int = 3, threshold: int = 10, share:
     keys = [f"w{i}" for i in range(1, longest + 1)]
     encoded = chunks(docs, shards)
     counts = frequent(encoded, longest, threshold, shards)
-    phrases = written(uncovered(scored(counts, longest), longest, share), "phrases-scored")
-    needed = phrases.select(F.explode(F.array(*keys)).alias("word")).where("word <> 0").distinct()
+    # only the first of each language are spelled out, with all ties of the last one
+    by_score = Window.partitionBy("g").orderBy(F.desc("score"), F.desc("a"))
+    first = written(uncovered(scored(counts, longest), longest, share).withColumn(
+        "at", F.rank().over(by_score)).where(F.col("at") <= top), "phrases-first")
+    needed = first.select(F.explode(F.array(*keys)).alias("word")).where("word <> 0").distinct()
     known = written(dictionary(encoded, needed), "phrase-words")
-    lang = known.select(F.col("word").alias("w1"), "lang")
-    by_score = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    # ties with the last one stay until their words are spelled out
-    first = phrases.join(lang, "w1").withColumn("at", F.rank().over(by_score)).where(F.col("at") <= top)
     for k in keys:
         first = first.join(known.select(F.col("word").alias(k), F.col("text").alias(f"{k}_text")), k, "left")
-    total = encoded.groupBy("lang").agg(F.sum("n").alias("n"))
+    total = encoded.groupBy("lang", "g").agg(F.sum("n").alias("n"))
     return (first.withColumn("phrase", F.concat_ws(" ", *(f"{k}_text" for k in keys)))
-            .join(total, "lang")
+            .join(total, "g")
             .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(
                 F.desc("score"), F.desc("a"), "phrase")))
             .where(F.col("rank") <= top)

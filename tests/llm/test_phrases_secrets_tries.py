@@ -83,13 +83,14 @@ def test_late_phrases_get_a_whole_cycle(shipped):
     docs = shipped.createDataFrame(rows, SCHEMA).coalesce(1)
     for shards in (1, 3, 5):
         encoded = collocations.chunks(docs.repartition(6, "doc_id"), shards)
-        counts = {tuple(r[:3]): r["c"] for r in collocations.frequent(encoded, 3, 10, shards).collect()}
+        counts = {tuple(r[1:4]): r["c"] for r in collocations.frequent(encoded, 3, 10, shards).collect()}
         assert sorted(counts.values()) == [19] * 6
 
 
 def test_scores_beyond_64_bits(shipped):
     a, b = 3_000_000_000_000, 2_999_999_999_999
-    counts = shipped.createDataFrame([(1, 0, a), (2, 0, a), (1, 2, b)], "w1 long, w2 long, c long")
+    counts = shipped.createDataFrame([(7, 1, 0, a), (7, 2, 0, a), (7, 1, 2, b)],
+                                     "g long, w1 long, w2 long, c long")
     row = collocations.scored(counts, 2).first()
     assert row["score"] == 1000000 * b * b // (a * a)
 
