@@ -18,11 +18,13 @@ from commerce_marts.plans import quality as PQ
 from commerce_marts.plans import reports as R
 from commerce_marts.plans import staging as S
 from commerce_marts.plans import warehouse as W
+from commerce_marts.plans.build import build_all
 from commerce_marts.plans.layers import Layers
 from commerce_marts.session import ensure_checkpoint_dir, scratch_path
 from commerce_marts.sources import bindings as BND
 from commerce_marts.sources.io import export_checked, read_source, write_csv
 from commerce_marts.sources.schemas import SOURCES
+from commerce_marts.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,15 +109,12 @@ def export_roundtrip_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full refresh of every layer to parquet, then row counts of the written tables."""
-    from commerce_marts.plans.build import build_all
-
-    written = build_all(spark, _layers(spark, sf_dir), scratch_path(spark, "warehouse"))
-    kinds = {"staging": "table", "marts": "mart"}
-    return Q.table_counts({
-        name: (layer, kinds.get(layer, "fact" if name.startswith("fact") else "dimension"),
-               spark.read.parquet(path))
-        for name, (layer, path) in written.items()})
+    """Full refresh of every layer, published, then the row counts of the published tables,
+    each read back and compared with its checksum."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    build_all(spark, _layers(spark, sf_dir), store.root)
+    store.verify()
+    return store.catalog(total=None).where("layer <> 'intermediate'")
 
 
 def _trend(p: Layers) -> DataFrame:

@@ -1,79 +1,115 @@
-"""Materialize every layer as tables, in dependency order.
-
-``build_all`` is the full-refresh run: staging tables, then the five
-warehouse tables, then the three marts, each written as parquet under
-``root/<layer>/<table>`` (one folder per layer namespace; overwrite makes
-the run idempotent).  Staging is read back from the written files before the
-warehouse is built, so every later stage scans columnar files — filters and
-column pruning reach those scans — and the dedup work is done once instead of
-once per consumer.  A lost executor re-reads written files rather than
-recomputing upstream layers.
+"""Full refresh and month refresh of every layer, published after their checks.
+
+``build_run`` writes staging, the keys, the fact, the item model and the marts, each once,
+and every later stage reads written files.  The staging tables that are joined by order
+(items, orders, payments, reviews) and the orders' customer keys are laid out in buckets of
+order_id, so the item joins of the fact and of the item model need no exchange.  The fact
+is partitioned by order month.  NOT NULL and primary keys of the warehouse are checked
+before the marts are built, and nothing is visible to readers until all is
+(``sources.store``).  A lost executor re-reads written files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
-from commerce_marts.operators import quality as Q
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from commerce_marts.plans import warehouse as W
 from commerce_marts.plans.layers import Layers
-from commerce_marts.sources.io import conform, write_table
 from commerce_marts.sources.schemas import SOURCES, WAREHOUSE_KEYS, WAREHOUSE_SCHEMAS
-
-
-def _path(root: str, layer: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{layer}/{table}"
-
-
-class ConstraintViolation(RuntimeError):
-    pass
-
-
-def check_constraints(spark: SparkSession, written: dict[str, tuple[str, str]]) -> None:
-    """Primary-key and NOT NULL constraints of the written warehouse tables.
-
-    Spark does not enforce table constraints, so they are checked on the
-    written (columnar) files: one NOT NULL pass and one key aggregation per
-    table.  Failing rows are reported, never dropped.
-    """
-    checks = []
-    for name, (layer, path) in written.items():
-        if layer != "warehouse":
-            continue
-        df = spark.read.parquet(path)
-        required = [f.name for f in WAREHOUSE_SCHEMAS[name].fields if not f.nullable]
-        checks.append(Q.check_not_null_and_unique(df, name, required, WAREHOUSE_KEYS[name]))
-    failed = Q.run_checks(checks).where(F.col("failures") > 0).collect()
-    if failed:
-        detail = "; ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed)
-        raise ConstraintViolation(detail)
+from commerce_marts.sources.store import ConstraintViolation, StoreRun, TableStore
+
+__all__ = ["ConstraintViolation", "build_all", "build_run", "read_layer", "refresh_months"]
+
+#: Staging tables that are joined by order_id.
+BY_ORDER = ("order_items", "orders", "order_payments", "order_reviews")
+MONTH = "order_month"
+
+
+def with_month(fact: DataFrame) -> DataFrame:
+    """The fact with its partition column, yyyymm of the order date."""
+    return fact.withColumn(MONTH, F.floor(F.col("order_date_key") / 100).cast("int"))
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def staged(run: StoreRun, layers: Layers, names: Sequence[str] | None = None) -> Layers:
+    """Writes the staging tables; ``Layers`` over them.  ``names`` limits the tables."""
+    tables = {}
+    for name in names or layers.raw:
+        buckets = (_buckets(run.spark), "order_id") if name in BY_ORDER else None
+        tables[name] = run.write(SOURCES[name].table_name, "staging", layers.staging[name],
+                                 buckets=buckets)
+    return type(layers)(layers.raw, layers.band_cuts, staging={
+        n: tables[n] if n in tables else layers.staging[n] for n in layers.raw})
+
+
+def _warehouse(run: StoreRun, built: Layers) -> Layers:
+    """Writes dimensions and fact; ``Layers`` over staging and these."""
+    models = built.warehouse()
+    kept = {}
+    for name, df in models.items():
+        if name != "fact_orders":
+            kept[name] = run.write(name, "warehouse", df, "dimension", WAREHOUSE_SCHEMAS[name],
+                                   WAREHOUSE_KEYS[name])
+    st = built.staging
+    kept["order_customer_keys"] = run.write(
+        "order_customer_keys", "intermediate",
+        W.customer_key_lookup(st["orders"], st["customers"], kept["dim_customers"]), "lookup",
+        buckets=(_buckets(run.spark), "order_id"))
+    over = type(built)(built.raw, built.band_cuts, staging=st, models=kept)
+    kept["fact_orders"] = run.write(
+        "fact_orders", "warehouse", with_month(over.fact_orders), "fact",
+        WAREHOUSE_SCHEMAS["fact_orders"], WAREHOUSE_KEYS["fact_orders"], partition=MONTH)
+    return type(built)(built.raw, built.band_cuts, staging=st, models=kept)
+
+
+def build_run(run: StoreRun, layers: Layers, enforce_constraints: bool = True) -> Layers:
+    """Writes all layers into ``run`` (not published yet); ``Layers`` over what was written,
+    whose models start no job while they are composed."""
+    over = _warehouse(run, staged(run, layers))
+    if enforce_constraints:
+        run.check()
+    models = dict(over.models)
+    for name in ("int_orders_items_joined", "int_products_enriched"):
+        models[name] = run.write(name, "intermediate", getattr(over, name), "model")
+    over = type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
+    for name, df in over.marts().items():
+        models[name] = run.write(name, "marts", df, "mart")
+    return type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
 
 
 def build_all(spark: SparkSession, layers: Layers, root: str,
               enforce_constraints: bool = True) -> dict[str, tuple[str, str]]:
-    """Write staging, warehouse and marts under ``root``; returns name → (layer, path).
+    """Builds and publishes all layers under ``root``; returns name → (layer, path).
 
-    With ``enforce_constraints`` the warehouse tables are checked right after
-    they are written and before any mart is built; a violation raises
-    ``ConstraintViolation`` with the failing counts.
+    A violation raises ``ConstraintViolation`` with the failing counts; what was published
+    before stays readable.
     """
-    written: dict[str, tuple[str, str]] = {}
-    staged = {}
-    for name in layers.raw:
-        table = SOURCES[name].table_name
-        path = write_table(layers.staging[name], _path(root, "staging", table))
-        written[table] = ("staging", path)
-        staged[name] = spark.read.parquet(path)
-    built = type(layers)(layers.raw, layers.band_cuts, staging=staged)
-    for name, df in built.warehouse().items():
-        path = write_table(conform(df, WAREHOUSE_SCHEMAS[name]), _path(root, "warehouse", name))
-        written[name] = ("warehouse", path)
-    if enforce_constraints:
-        check_constraints(spark, written)
-    for name, df in built.marts().items():
-        written[name] = ("marts", write_table(df, _path(root, "marts", name)))
-    return written
+    store = TableStore(spark, root)
+    with store.run() as run:
+        build_run(run, layers, enforce_constraints)
+        if not enforce_constraints:
+            run.violations.clear()
+        run.publish()
+        return {name: (e["layer"], f"{store.root}/{e['layer']}/{name}/{e['run']}")
+                for name, e in run.entries.items() if e["layer"] != "intermediate"}
+
+
+def refresh_months(store: TableStore, layers: Layers, months: Sequence[int]) -> None:
+    """Rebuilds the fact of some months (yyyymm) from ``layers`` over the published dimensions
+    and publishes these alone; the files of other months stay as they are."""
+    with store.run() as run:
+        over = type(layers)(layers.raw, layers.band_cuts, staging=layers.staging, models={
+            n: store.read(n) for n in ("dim_customers", "dim_products", "dim_sellers")})
+        run.write("fact_orders", "warehouse", with_month(over.fact_orders), "fact",
+                  WAREHOUSE_SCHEMAS["fact_orders"], WAREHOUSE_KEYS["fact_orders"],
+                  partition=MONTH, replace=months)
+        run.publish()
 
 
 def read_layer(spark: SparkSession, written: dict[str, tuple[str, str]], layer: str):

@@ -29,11 +29,17 @@ class Layers:
     def __init__(self, raw: Mapping[str, DataFrame],
                  band_cuts: Sequence[float] = DEFAULT_BAND_CUTS,
                  staging: Mapping[str, DataFrame] | None = None,
-                 materialize_shared: bool = False):
+                 materialize_shared: bool = False,
+                 models: Mapping[str, DataFrame] | None = None):
         """``staging`` — already deduplicated and cleaned tables (e.g. read back
         from written staging tables); when given, they replace the derivation
-        from ``raw``."""
+        from ``raw``.  ``models`` — written models by name, in place of their derivation;
+        ``order_customer_keys`` (order_id, customer_key) serves the fact."""
         self.raw = raw
+        self.models = dict(models or {})
+        for name, df in self.models.items():
+            if name != "order_customer_keys":
+                self.__dict__[name] = df
         self.band_cuts = tuple(band_cuts)
         self.materialize_shared = materialize_shared
         if staging is not None:
@@ -109,7 +115,8 @@ class Layers:
         st = self.staging
         return W.fact_orders(st["order_items"], st["orders"], st["customers"],
                              st["order_payments"], st["order_reviews"],
-                             self.dim_customers, self.dim_products, self.dim_sellers)
+                             self.dim_customers, self.dim_products, self.dim_sellers,
+                             self.models.get("order_customer_keys"))
 
     # marts -----------------------------------------------------------------
     @cached_property

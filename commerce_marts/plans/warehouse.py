@@ -129,8 +129,12 @@ def customer_key_lookup(orders: DataFrame, customers: DataFrame, dim_cust: DataF
 
 def fact_orders(items: DataFrame, orders: DataFrame, customers: DataFrame,
                 payments: DataFrame, reviews: DataFrame, dim_cust: DataFrame,
-                dim_prod: DataFrame, dim_sell: DataFrame) -> DataFrame:
-    """Item-grain fact with surrogate keys, payment, review and delivery metrics."""
+                dim_prod: DataFrame, dim_sell: DataFrame,
+                order_keys: DataFrame | None = None) -> DataFrame:
+    """Item-grain fact with surrogate keys, payment, review and delivery metrics.
+
+    ``order_keys`` (order_id, customer_key) replaces the lookup of the customer key; over
+    tables in buckets of order_id the joins up to the item grain then need no exchange."""
     pay = order_payments_agg(payments, with_mode=False).select(
         "order_id", F.col("total_payment_value").alias("payment_value"))
     rev = order_reviews_agg(reviews).select(
@@ -141,9 +145,12 @@ def fact_orders(items: DataFrame, orders: DataFrame, customers: DataFrame,
     o = delivery_columns(orders).select(
         "order_id", "customer_id", "order_status", "purchase_date", "delivered_date",
         "estimated_date", "days_to_deliver", "days_estimated", "delivery_delay_days")
-    o = (o.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
-         .join(dim_cust.select("customer_unique_id", "customer_key"), "customer_unique_id")
-         .drop("customer_id", "customer_unique_id"))
+    if order_keys is not None:
+        o = o.join(order_keys, "order_id").drop("customer_id")
+    else:
+        o = (o.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+             .join(dim_cust.select("customer_unique_id", "customer_key"), "customer_unique_id")
+             .drop("customer_id", "customer_unique_id"))
     by_order = (items.select("order_id", "order_item_id", "product_id", "seller_id",
                              "price", "freight_value")
                 .join(o, "order_id")
@@ -161,6 +168,13 @@ def fact_orders(items: DataFrame, orders: DataFrame, customers: DataFrame,
         "days_to_deliver", "days_estimated", "delivery_delay_days")
 
 
+def in_period(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of a fact partitioned by ``order_month`` with their day of ``dates`` (any part of
+    dim_date): months without such a day are pruned at run time."""
+    days = dates.withColumn("order_month", F.floor(F.col("date_key") / 100).cast("int"))
+    return fact.withColumnRenamed("order_date_key", "date_key").join(days, ["order_month", "date_key"])
+
+
 def conform_fact(fact: DataFrame) -> DataFrame:
     """The fact projected onto its declared DDL (column order and types)."""
     return conform(fact, WAREHOUSE_SCHEMAS["fact_orders"])
