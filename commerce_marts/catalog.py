@@ -18,13 +18,13 @@ from commerce_marts.plans import quality as PQ
 from commerce_marts.plans import reports as R
 from commerce_marts.plans import staging as S
 from commerce_marts.plans import warehouse as W
-from commerce_marts.plans.build import build_all
+from commerce_marts.plans.build import build_all, build_run
 from commerce_marts.plans.layers import Layers
 from commerce_marts.session import ensure_checkpoint_dir, scratch_path
 from commerce_marts.sources import bindings as BND
 from commerce_marts.sources.io import export_checked, read_source, write_csv
 from commerce_marts.sources.schemas import SOURCES
-from commerce_marts.sources.store import TableStore
+from commerce_marts.sources.store import StoreRun, TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,13 +108,34 @@ def export_roundtrip_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.mart_values(_exported(spark, sf_dir))
 
 
+def _over_build(fn: Callable) -> Query:
+    """``fn(run, layers)`` over a build in the shared folder whose files go afterwards; the small
+    result is brought over."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with TableStore(spark, scratch_path(spark, "build")).run() as run:
+            result = fn(run, build_run(run, _layers(spark, sf_dir), enforce_constraints=False))
+            return spark.createDataFrame(result.collect(), result.schema)
+    query.__doc__ = fn.__doc__
+    return query
+
+
+def table_counts(run: StoreRun, _: Layers) -> DataFrame:
+    """Rows of every table as they were written, and the total; no table is counted again."""
+    return run.catalog()
+
+
+def dq_results(_: StoreRun, layers: Layers) -> DataFrame:
+    """All model tests and warehouse constraints, one pass over each written model."""
+    return PQ.dq_results(layers)
+
+
 def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full refresh of every layer, published, then the row counts of the published tables,
     each read back and compared with its checksum."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
     build_all(spark, _layers(spark, sf_dir), store.root)
     store.verify()
-    return store.catalog(total=None).where("layer <> 'intermediate'")
+    return store.catalog(total=None)
 
 
 def _trend(p: Layers) -> DataFrame:
@@ -185,7 +206,11 @@ QUERIES: dict[str, Query] = {
     "payment_share": _q(lambda p: R.payment_share(p.staging["order_payments"])),
     "dashboard_measures": _q(lambda p: R.dashboard_measures(
         p.mart_sales_by_region, p.mart_delivery_kpis)),
-    "delivery_heatmap": _q(lambda p: R.delivery_heatmap(p.mart_delivery_kpis)),
+    "delivery_heatmap": _q(lambda p: R.delivery_heatmap(p.mart_delivery_kpis, BND.STATES)),
+    "month_state_heatmap": _q(lambda p: R.month_state_heatmap(
+        p.int_orders_items_joined, p.views["stg_customers"], BND.STATES)),
+    "delivery_insights": _qw(lambda p: R.delivery_insights(
+        R.orders_by_weekday(p.fact_orders, p.dim_date), p.fact_orders)),
     "on_time_by_state": _q(lambda p: R.on_time_by_state(
         p.int_orders_items_joined, p.views["stg_customers"])),
     "price_vs_review": _qw(lambda p: R.price_vs_review(
@@ -199,10 +224,10 @@ QUERIES: dict[str, Query] = {
     "duplicate_key_samples": _q(lambda p: PQ.duplicate_key_samples(p.raw)),
     "profile_numeric": _q(lambda p: PQ.profile_numeric(p.raw)),
     "profile_cardinality": _q(lambda p: PQ.profile_cardinality(p.raw)),
-    "dq_results": _qw(PQ.dq_results),
+    "dq_results": _over_build(dq_results),
     "dq_accepted_values": _q(PQ.dq_accepted_values),
     "fk_orphans": _qw(PQ.fk_orphans),
-    "table_counts": _qw(PQ.table_counts),
+    "table_counts": _over_build(table_counts),
     "export_roundtrip": export_roundtrip,
     "export_roundtrip_marts": export_roundtrip_marts,
     "warehouse_build": warehouse_build,

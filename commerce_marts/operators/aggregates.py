@@ -2,9 +2,10 @@
 
 * ``mode_of`` — most frequent value, ties to the lowest value (built-in
   ``mode(col, deterministic=True)``, partially aggregated per task).
-* ``share_of_total`` — value / grand total as a percentage.  The total is a
-  scalar subquery (one row, computed once) — no cross join, no window over a
-  single partition.
+* ``share_of_total`` — value / grand total as a percentage of a *grouped* result
+  (states, bands, payment types: few rows).  The total is summed over these rows,
+  so the source is read once.
+* ``extremes`` — the labels with the largest and smallest measure.
 * ``trend_line`` — least-squares line (``regr_slope``/``regr_intercept``),
   reported only with at least two points and two distinct x values.
 * ``weighted_mean`` — Σ(value·weight) / Σweight.
@@ -12,7 +13,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commerce_marts.functions import pct, round_half_up
@@ -24,11 +25,20 @@ def mode_of(value: str | Column) -> Column:
 
 
 def share_of_total(df: DataFrame, measure: str, alias: str, digits: int = 1) -> DataFrame:
-    """Add ``alias`` = round(100 * measure / Σ measure, digits)."""
-    total = df.select(F.sum(measure)).scalar()
+    """Add ``alias`` = round(100 * measure / Σ measure, digits) to a small grouped result."""
+    total = F.sum(measure).over(Window.partitionBy(F.lit(0)))
     return df.withColumn(alias, pct(F.col(measure), total, digits))
 
 
+def extremes(df: DataFrame, label: str, measure: str) -> DataFrame:
+    """One row: highest, highest_value, lowest, lowest_value; ties go to the first label."""
+    rank = F.struct(F.col(measure).alias("m"), F.col(label).alias("l"))
+    down = F.struct((-F.col(measure)).alias("m"), F.col(label).alias("l"))
+    return df.where(F.col(measure).isNotNull()).agg(F.min(down).alias("h"), F.min(rank).alias("s")).select(
+        F.col("h.l").alias("highest"), (-F.col("h.m")).alias("highest_value"),
+        F.col("s.l").alias("lowest"), F.col("s.m").alias("lowest_value"))
+
+
 def trend_line(df: DataFrame, x: str, y: str, digits: int = 6) -> DataFrame:
     """One row: n_points, slope, intercept (NULL when the fit is undefined)."""
     n = F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.lit(1)))

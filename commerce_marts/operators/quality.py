@@ -138,12 +138,36 @@ def profile_numeric(df: DataFrame, table: str, digits: int = 2) -> DataFrame:
 
 
 def profile_cardinality(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
-    """Long form: table, column, distinct non-NULL values (exact unless approx)."""
-    fn = F.approx_count_distinct if approx else F.count_distinct
+    """Long form: table, column, distinct non-NULL values (exact unless approx).
+
+    Exact counts come from (column, value) pairs that each task makes distinct before
+    the shuffle, so a frequent value is sent once per task and no row is expanded into
+    one shuffled copy per column.
+    """
     cols = df.columns
-    wide = df.agg(*[fn(F.col(c)).cast("long").alias(c) for c in cols])
-    return wide.unpivot([], cols, "column_name", "n_distinct").select(
-        F.lit(table).alias("table_name"), "column_name", "n_distinct")
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(c).cast("long").alias(c) for c in cols])
+        return wide.unpivot([], cols, "column_name", "n_distinct").select(
+            F.lit(table).alias("table_name"), "column_name", "n_distinct")
+
+    def text(f: T.StructField):
+        # 0.0 and -0.0 are one value, as texts they would be two
+        c = F.col(f.name) + F.lit(0.0) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) \
+            else F.col(f.name)
+        return c.cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), text(f).alias("v"))
+                      for i, f in enumerate(df.schema.fields)])
+    found = (df.select(F.explode(pairs).alias("p")).select("p.i", "p.v").where("v is not null")
+             .groupBy("i", "v").agg(F.lit(1).alias("one")).groupBy("i")
+             .agg(F.count("one").alias("n_distinct")))
+    # a column of NULLs only still has its row
+    every = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("i"),
+                                                    F.lit(0).cast("long").alias("n_distinct"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return (found.unionByName(every).groupBy("i").agg(F.max("n_distinct").alias("n_distinct"))
+            .select(F.lit(table).alias("table_name"), F.get(names, F.col("i")).alias("column_name"),
+                    "n_distinct"))
 
 
 def profile_columns(df: DataFrame, table: str) -> DataFrame:
@@ -234,6 +258,54 @@ def check_accepted_values(df: DataFrame, model: str, column: str,
     return _result(c, model, column, "accepted_values")
 
 
+def check_model(df: DataFrame, model: str, not_null: Sequence[str] = (),
+                key: Sequence[str] = (), accepted: Mapping[str, Sequence[str]] | None = None
+                ) -> DataFrame:
+    """All declared tests of a model in one pass over it.
+
+    ``accepted`` maps at most one column to its values.  With a ``key`` the key
+    aggregation carries NULL counts and the unaccepted values of a key; rows without a
+    whole key are spread by a salt, as they may be many and are never duplicates.
+    Rows are those of ``check_not_null_many``, ``check_unique`` and
+    ``check_accepted_values``.
+    """
+    if len(accepted or {}) > 1:
+        raise ValueError("one column with accepted values for each pass")
+    column, values = next(iter((accepted or {}).items()), (None, ()))
+    bad = F.when(F.col(column).isNotNull() & ~F.col(column).isin(list(values)), F.col(column)) \
+        if column else F.lit(None).cast("string")
+    nulls = {c: F.sum(F.col(c).isNull().cast("long")) for c in not_null}
+    key = list(key)
+    if key:
+        whole = F.lit(True)
+        for c in key:
+            whole = whole & F.col(c).isNotNull()
+        salt = F.when(~whole, F.pmod(F.xxhash64(bad, *key), F.lit(1024)))
+        per_key = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)],
+                             salt.alias("_salt")).agg(
+            F.count(F.lit(1)).alias("_c"), F.collect_set(bad).alias("_bad"),
+            *[n.alias(f"_n{i}") for i, n in enumerate(nulls.values())])
+        # a key with several unaccepted values is several rows; the first one counts
+        long = per_key.select("*", F.posexplode_outer("_bad").alias("_at", "_value"))
+        first = F.coalesce(F.col("_at"), F.lit(0)) == 0
+        wide = long.agg(
+            F.count(F.when(first & F.col("_salt").isNull() & (F.col("_c") > 1), 1)).alias("_dup"),
+            F.count_distinct("_value").alias("_values"),
+            *[F.coalesce(F.sum(F.when(first, F.col(f"_n{i}"))), F.lit(0)).alias(f"_n{i}")
+              for i in range(len(nulls))])
+    else:
+        wide = df.agg(F.lit(0).cast("long").alias("_dup"), F.count_distinct(bad).alias("_values"),
+                      *[F.coalesce(n, F.lit(0)).alias(f"_n{i}")
+                        for i, n in enumerate(nulls.values())])
+    tests = [(c, "not_null", F.col(f"_n{i}")) for i, c in enumerate(nulls)]
+    tests += [(",".join(key), "unique", F.col("_dup"))] if key else []
+    tests += [(column, "accepted_values", F.col("_values"))] if column else []
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"),
+                              n.cast("long").alias("failures")) for c, t, n in tests])
+    return wide.select(F.explode(rows).alias("r")).select(
+        F.lit(model).alias("model"), "r.column_name", "r.test", "r.failures")
+
+
 def accepted_values_profile(df: DataFrame, model: str, column: str,
                             values: Sequence[str]) -> DataFrame:
     """Every observed value with its row count and whether it is accepted."""
@@ -253,14 +325,31 @@ def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
 
 def fk_orphans(fact: DataFrame, checks: Sequence[tuple[str, str, DataFrame, str]]
                ) -> DataFrame:
-    """Orphan counts: (fk column, dimension name, dimension frame, dimension key)."""
-    rows = []
-    for fk, dim_name, dim, pk in checks:
-        orphans = fact.join(dim.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
-        rows.append(orphans.agg(F.count(F.lit(1)).alias("orphans")).select(
-            F.lit(fk).alias("fk_column"), F.lit(dim_name).alias("dim_table"),
-            F.col("orphans").cast("long")))
-    return _union_all(rows)
+    """Orphan counts: (fk column, dimension name, dimension frame, dimension key).
+
+    The fact is read once: its (foreign key, value) pairs are counted in each task, meet
+    the dimension keys in one shuffle, and values that no dimension has are summed.  A
+    NULL foreign key is an orphan.  A frequent value is one row per task.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(fk).cast("string").alias("key"))
+                      for i, (fk, *_) in enumerate(checks)])
+    known = F.lit(0).alias("known")
+    all_rows = fact.select(F.explode(pairs).alias("p")).select("p.i", "p.key").groupBy(
+        "i", "key").agg(F.count(F.lit(1)).alias("n")).select("i", "key", "n", known)
+    for i, (_, _, dim, pk) in enumerate(checks):
+        all_rows = all_rows.unionByName(dim.select(
+            F.lit(i).alias("i"), F.col(pk).cast("string").alias("key"),
+            F.lit(0).cast("long").alias("n"), F.lit(1).alias("known")).where("key is not null"))
+    every = fact.sparkSession.range(len(checks)).select(
+        F.col("id").cast("int").alias("i"), F.lit(None).cast("string").alias("key"),
+        F.lit(0).cast("long").alias("n"), known)
+    per_key = all_rows.unionByName(every).groupBy("i", "key").agg(
+        F.sum("n").alias("n"), F.max("known").alias("known"))
+    names = [F.array(*[F.lit(c[j]) for c in checks]) for j in (0, 1)]
+    return (per_key.groupBy("i")
+            .agg(F.sum(F.when(F.col("known") == 0, F.col("n")).otherwise(0)).alias("orphans"))
+            .select(F.get(names[0], F.col("i")).alias("fk_column"),
+                    F.get(names[1], F.col("i")).alias("dim_table"), F.col("orphans").cast("long")))
 
 
 def table_counts(tables: Mapping[str, tuple[str, str, DataFrame]]) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from commerce_marts.plans import warehouse as W
 from commerce_marts.plans.layers import Layers
 from commerce_marts.sources.schemas import SOURCES, WAREHOUSE_KEYS, WAREHOUSE_SCHEMAS
-from commerce_marts.sources.store import ConstraintViolation, StoreRun, TableStore
+from commerce_marts.sources.store import INTERMEDIATE, ConstraintViolation, StoreRun, TableStore
 
 __all__ = ["ConstraintViolation", "build_all", "build_run", "read_layer", "refresh_months"]
 
@@ -58,7 +58,7 @@ def _warehouse(run: StoreRun, built: Layers) -> Layers:
                                    WAREHOUSE_KEYS[name])
     st = built.staging
     kept["order_customer_keys"] = run.write(
-        "order_customer_keys", "intermediate",
+        "order_customer_keys", INTERMEDIATE,
         W.customer_key_lookup(st["orders"], st["customers"], kept["dim_customers"]), "lookup",
         buckets=(_buckets(run.spark), "order_id"))
     over = type(built)(built.raw, built.band_cuts, staging=st, models=kept)
@@ -76,7 +76,7 @@ def build_run(run: StoreRun, layers: Layers, enforce_constraints: bool = True) -
         run.check()
     models = dict(over.models)
     for name in ("int_orders_items_joined", "int_products_enriched"):
-        models[name] = run.write(name, "intermediate", getattr(over, name), "model")
+        models[name] = run.write(name, INTERMEDIATE, getattr(over, name), "model")
     over = type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
     for name, df in over.marts().items():
         models[name] = run.write(name, "marts", df, "mart")
@@ -97,7 +97,7 @@ def build_all(spark: SparkSession, layers: Layers, root: str,
             run.violations.clear()
         run.publish()
         return {name: (e["layer"], f"{store.root}/{e['layer']}/{name}/{e['run']}")
-                for name, e in run.entries.items() if e["layer"] != "intermediate"}
+                for name, e in run.entries.items() if e["layer"] != INTERMEDIATE}
 
 
 def refresh_months(store: TableStore, layers: Layers, months: Sequence[int]) -> None:

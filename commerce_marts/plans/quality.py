@@ -78,33 +78,24 @@ def profile_columns(raw: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def model_tests(p: Layers) -> list[DataFrame]:
-    """The 23 model tests (15 not_null, 5 unique, 3 accepted_values)."""
+    """The 23 model tests (15 not_null, 5 unique, 3 accepted_values), one pass for each model."""
     v = p.views
-    oij, pe = p.int_orders_items_joined, p.int_products_enriched
     return [
-        Q.check_not_null_and_unique(v["stg_orders"], "stg_orders",
-                                    ["order_id", "order_status"], ["order_id"]),
-        Q.check_accepted_values(v["stg_orders"], "stg_orders", "order_status", ORDER_STATUSES),
-        Q.check_not_null_and_unique(v["stg_customers"], "stg_customers", ["customer_id"],
-                                    ["customer_id"]),
-        Q.check_not_null_many(v["stg_order_items"], "stg_order_items",
-                              ["order_id", "order_item_id"]),
-        Q.check_not_null_and_unique(v["stg_products"], "stg_products", ["product_id"],
-                                    ["product_id"]),
-        Q.check_not_null_and_unique(v["stg_sellers"], "stg_sellers", ["seller_id"],
-                                    ["seller_id"]),
-        Q.check_not_null_many(oij, "int_orders_items_joined",
-                              ["order_id", "order_item_id", "price"]),
-        Q.check_not_null_and_unique(pe, "int_products_enriched", ["product_id"],
-                                    ["product_id"]),
-        Q.check_accepted_values(pe, "int_products_enriched", "price_band", PRICE_BANDS),
-        Q.check_not_null_many(p.mart_sales_by_region, "mart_sales_by_region",
-                              ["customer_state", "total_revenue"]),
-        Q.check_not_null_many(p.mart_product_performance, "mart_product_performance",
-                              ["category_en"]),
-        Q.check_accepted_values(p.mart_product_performance, "mart_product_performance",
-                                "price_band", PRICE_BANDS),
-        Q.check_not_null_many(p.mart_delivery_kpis, "mart_delivery_kpis", ["customer_state"]),
+        Q.check_model(v["stg_orders"], "stg_orders", ["order_id", "order_status"], ["order_id"],
+                      {"order_status": ORDER_STATUSES}),
+        Q.check_model(v["stg_customers"], "stg_customers", ["customer_id"], ["customer_id"]),
+        Q.check_model(v["stg_order_items"], "stg_order_items", ["order_id", "order_item_id"]),
+        Q.check_model(v["stg_products"], "stg_products", ["product_id"], ["product_id"]),
+        Q.check_model(v["stg_sellers"], "stg_sellers", ["seller_id"], ["seller_id"]),
+        Q.check_model(p.int_orders_items_joined, "int_orders_items_joined",
+                      ["order_id", "order_item_id", "price"]),
+        Q.check_model(p.int_products_enriched, "int_products_enriched", ["product_id"],
+                      ["product_id"], {"price_band": PRICE_BANDS}),
+        Q.check_model(p.mart_sales_by_region, "mart_sales_by_region",
+                      ["customer_state", "total_revenue"]),
+        Q.check_model(p.mart_product_performance, "mart_product_performance", ["category_en"],
+                      accepted={"price_band": PRICE_BANDS}),
+        Q.check_model(p.mart_delivery_kpis, "mart_delivery_kpis", ["customer_state"]),
     ]
 
 
@@ -114,7 +105,7 @@ def warehouse_constraints(p: Layers) -> list[DataFrame]:
     for name, df in p.warehouse().items():
         schema = WAREHOUSE_SCHEMAS[name]
         required = [f.name for f in schema.fields if not f.nullable]
-        out.append(Q.check_not_null_and_unique(df, name, required, WAREHOUSE_KEYS[name]))
+        out.append(Q.check_model(df, name, required, WAREHOUSE_KEYS[name]))
     return out
 
 

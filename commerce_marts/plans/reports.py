@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_marts.functions import cents_mean, cents_sum, pct, round_half_up
-from commerce_marts.operators.aggregates import share_of_total, trend_line, weighted_mean
+from commerce_marts.operators.aggregates import extremes, share_of_total, trend_line, weighted_mean
 
 
 def _fact_state(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
@@ -179,11 +179,39 @@ def dashboard_measures(sales: DataFrame, delivery: DataFrame) -> DataFrame:
     ).select("total_revenue", on_time.alias("on_time_rate"), "avg_ticket", "avg_review")
 
 
-def delivery_heatmap(delivery: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
-    """Rows (year, month) × one column per state: mean delivery days of the cell."""
-    g = delivery.groupBy("order_year", "order_month")
-    p = g.pivot("customer_state", list(states) if states else None)
-    return p.agg(F.max("avg_days_to_deliver"))
+def delivery_heatmap(delivery: DataFrame, states: Sequence[str]) -> DataFrame:
+    """Rows (year, month) × one column per state: mean delivery days of the cell.
+
+    ``states`` is given, so nothing runs to find the columns."""
+    return delivery.groupBy("order_year", "order_month").pivot(
+        "customer_state", list(states)).agg(F.max("avg_days_to_deliver"))
+
+
+def month_state_heatmap(oij: DataFrame, customers: DataFrame, states: Sequence[str]) -> DataFrame:
+    """Rows calendar month (1-12, all years together) × one column per state: mean delivery days
+    of the delivered items, from item grain (means of monthly means would weigh years alike)."""
+    d = oij.where(F.col("order_status") == "delivered").join(
+        customers.select("customer_id", "customer_state"), "customer_id")
+    return (d.groupBy(F.month("purchase_date").alias("order_month"))
+            .pivot("customer_state", list(states))
+            .agg(round_half_up(F.avg("days_to_deliver"), 1)))
+
+
+def weekday_extremes(by_weekday: DataFrame) -> DataFrame:
+    """Busiest and slowest weekday of ``orders_by_weekday``."""
+    return extremes(by_weekday, "day_name", "orders").select(
+        F.col("highest").alias("busiest_day"), F.col("highest_value").alias("busiest_orders"),
+        F.col("lowest").alias("slowest_day"), F.col("lowest_value").alias("slowest_orders"))
+
+
+def delivery_insights(by_weekday: DataFrame, fact: DataFrame) -> DataFrame:
+    """Weekday extremes and the correlation of delivery days with the review, over items."""
+    rated = fact.where(F.col("days_to_deliver").isNotNull() & F.col("review_score").isNotNull())
+    x, y = F.col("days_to_deliver").cast("double"), F.col("review_score").cast("double")
+    together = rated.select(F.struct(
+        F.count(F.lit(1)).alias("rated_items"),
+        round_half_up(F.corr(x, y), 6).alias("days_review_corr"))).scalar()
+    return weekday_extremes(by_weekday).withColumn("t", together).select("*", "t.*").drop("t")
 
 
 def on_time_by_state(oij: DataFrame, customers: DataFrame) -> DataFrame:

@@ -28,6 +28,9 @@ DRIVER_TABLES = ("orders", "lineitem", "customer", "part", "supplier", "nation",
 
 _READS: dict[tuple[int, str], DataFrame] = {}
 
+# The states of the driver's customers, first two letters of the five regions.
+STATES = ("AF", "AM", "AS", "EU", "MI")
+
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (memoized per session and path; reads are lazy)."""

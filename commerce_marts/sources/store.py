@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from commerce_marts.sources.io import _content, conform
 
 POINTER = "_current.json"
+#: Layer of tables that only other tables are built from.
+INTERMEDIATE = "intermediate"
 
 
 class ConstraintViolation(RuntimeError):
@@ -113,12 +115,8 @@ class TableStore:
 
     def catalog(self, total: str | None = "TOTAL") -> DataFrame:
         """table_name, layer, kind, n_rows of the published tables, and their total; nothing is
-        counted again."""
-        rows = [(e["name"], e["layer"], e["kind"], e["rows"]) for e in self.published().values()]
-        if total:
-            rows.append((total, None, None, sum(r[3] for r in rows)))
-        return self.spark.createDataFrame(
-            rows, "table_name string, layer string, kind string, n_rows long")
+        counted again.  Intermediate tables are left out."""
+        return _listing(self.spark, self.published(), total)
 
     def run(self) -> StoreRun:
         return StoreRun(self)
@@ -144,6 +142,14 @@ class TableStore:
                                 self.files.remove(f"{base}/{run}/{part}")
 
 
+def _listing(spark: SparkSession, entries: Mapping[str, Mapping], total: str | None) -> DataFrame:
+    rows = [(e["name"], e["layer"], e["kind"], e["rows"]) for e in entries.values()
+            if e["layer"] != INTERMEDIATE]
+    if total:
+        rows.append((total, None, None, sum(r[3] for r in rows)))
+    return spark.createDataFrame(rows, "table_name string, layer string, kind string, n_rows long")
+
+
 class StoreRun:
     """Use as a context manager: leaving it after an error removes what was written."""
 
@@ -153,6 +159,7 @@ class StoreRun:
         self.entries: dict[str, dict] = {}
         self.violations: list[str] = []
         self._bucketed: dict[str, str] = {}
+        self._folders: list[str] = []
         self._published = False
 
     def __enter__(self) -> StoreRun:
@@ -183,6 +190,7 @@ class StoreRun:
         seen = Observation(f"write-{name}")
         nulls = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{i}") for i, c in enumerate(required)]
         path = f"{self.store.root}/{layer}/{name}/{self.id}"
+        self._folders.append(path)
         out = df.observe(seen, *_content(df.columns), *nulls)
         if buckets:
             n, by = buckets
@@ -190,7 +198,8 @@ class StoreRun:
             self._bucketed[name] = table
             out.repartition(n, by).write.bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table)
         elif partition:
-            out.write.partitionBy(partition).parquet(path)
+            # one or a few files a value: AQE splits a value that holds much and joins small ones
+            out.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(path)
         else:
             out.write.parquet(path)
         got = seen.get
@@ -242,6 +251,10 @@ class StoreRun:
             return self.spark.table(self._bucketed[name])
         return self.store._frame(self.entries[name])
 
+    def catalog(self, total: str | None = "TOTAL") -> DataFrame:
+        """``TableStore.catalog`` of what this run has written."""
+        return _listing(self.spark, self.entries, total)
+
     def publish(self) -> None:
         """Makes all tables of the run visible at once, if none violates its constraints."""
         self.check()
@@ -254,6 +267,5 @@ class StoreRun:
         for table in self._bucketed.values():
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         if not self._published:
-            for entry in self.entries.values():
-                self.store.files.remove(
-                    f"{self.store.root}/{entry['layer']}/{entry['name']}/{self.id}")
+            for folder in self._folders:
+                self.store.files.remove(folder)
