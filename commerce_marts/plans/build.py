@@ -11,7 +11,8 @@ before the marts are built, and nothing is visible to readers until all is
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ __all__ = ["ConstraintViolation", "build_all", "build_run", "read_layer", "refre
 #: Staging tables that are joined by order_id.
 BY_ORDER = ("order_items", "orders", "order_payments", "order_reviews")
 MONTH = "order_month"
+DIMENSIONS = ("dim_date", "dim_customers", "dim_products", "dim_sellers")
 
 
 def with_month(fact: DataFrame) -> DataFrame:
@@ -33,29 +35,41 @@ def with_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(MONTH, F.floor(F.col("order_date_key") / 100).cast("int"))
 
 
+#: Tables of one layer that are written at a time; they don't depend on each other.
+AT_ONCE = 4
+
+
+def _together(writes: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        started = {name: pool.submit(write) for name, write in writes.items()}
+        return {name: job.result() for name, job in started.items()}
+
+
 def _buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def staged(run: StoreRun, layers: Layers, names: Sequence[str] | None = None) -> Layers:
     """Writes the staging tables; ``Layers`` over them.  ``names`` limits the tables."""
-    tables = {}
-    for name in names or layers.raw:
+    def write(name: str, df: DataFrame) -> Callable[[], DataFrame]:
         buckets = (_buckets(run.spark), "order_id") if name in BY_ORDER else None
-        tables[name] = run.write(SOURCES[name].table_name, "staging", layers.staging[name],
-                                 buckets=buckets)
+        return lambda: run.write(SOURCES[name].table_name, "staging", df, buckets=buckets)
+
+    # the largest tables first
+    order = sorted(names or layers.raw, key=lambda n: n not in BY_ORDER)
+    tables = _together({n: write(n, layers.staging[n]) for n in order})
     return type(layers)(layers.raw, layers.band_cuts, staging={
         n: tables[n] if n in tables else layers.staging[n] for n in layers.raw})
 
 
 def _warehouse(run: StoreRun, built: Layers) -> Layers:
     """Writes dimensions and fact; ``Layers`` over staging and these."""
+    _together({name: lambda name=name: getattr(built, name) for name in DIMENSIONS})  # their keys
     models = built.warehouse()
-    kept = {}
-    for name, df in models.items():
-        if name != "fact_orders":
-            kept[name] = run.write(name, "warehouse", df, "dimension", WAREHOUSE_SCHEMAS[name],
-                                   WAREHOUSE_KEYS[name])
+    kept = _together({
+        name: lambda name=name: run.write(name, "warehouse", models[name], "dimension",
+                                          WAREHOUSE_SCHEMAS[name], WAREHOUSE_KEYS[name])
+        for name in DIMENSIONS})
     st = built.staging
     kept["order_customer_keys"] = run.write(
         "order_customer_keys", INTERMEDIATE,
@@ -75,11 +89,12 @@ def build_run(run: StoreRun, layers: Layers, enforce_constraints: bool = True) -
     if enforce_constraints:
         run.check()
     models = dict(over.models)
-    for name in ("int_orders_items_joined", "int_products_enriched"):
-        models[name] = run.write(name, INTERMEDIATE, getattr(over, name), "model")
+    frames = {n: getattr(over, n) for n in ("int_orders_items_joined", "int_products_enriched")}
+    models |= _together({n: lambda n=n, df=df: run.write(n, INTERMEDIATE, df, "model")
+                         for n, df in frames.items()})
     over = type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
-    for name, df in over.marts().items():
-        models[name] = run.write(name, "marts", df, "mart")
+    models |= _together({n: lambda n=n, df=df: run.write(n, "marts", df, "mart")
+                         for n, df in over.marts().items()})
     return type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
 
 
