@@ -20,6 +20,8 @@ table gives no pieces.  Texts of any length are cut into pieces of ``capacity``.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -37,13 +39,20 @@ RANK_BUCKETS = 1024
 #: Distinct words a Python worker keeps with their ids (bounds its memory).
 CACHED_WORDS = 300_000
 _SEPARATOR = "<|startoftext|>"
+#: Words of printable ASCII without an apostrophe and of accented Latin letters (but the capital
+#: dotted I).  The tokenizer lower-cases these letter by letter, composes nothing, and cuts them
+#: into runs of letters, single digits and runs of the rest.
+_SIMPLE = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+_LETTER = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_PARTS = re.compile(f"[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
 
 
 class WordIds:
     """Token ids of whole texts by way of their distinct words.
 
     The tokenizer drops white space and never merges across it, so a text's ids
-    are those of its words; each distinct word of a slice is encoded once.
+    are those of its words; each distinct word of a slice is encoded once, and
+    simple words by way of their parts, which repeat more often than they do.
     """
 
     def __init__(self, path: str):
@@ -51,28 +60,50 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def of_words(self, distinct: list[str], repeated: np.ndarray) -> list[np.ndarray]:
+        self.known: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {}
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _part(self, part: str) -> list[int]:
+        ids = self.parts.get(part)
+        if ids is None:
+            mapped = part if part.isascii() else self.tokenizer.pre_tokenizer.pre_tokenize_str(part)[0][0]
+            ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+        return ids
+
+    def _simple(self, word: str) -> list[int]:
+        parts = _PARTS.findall(word.lower())
+        if len(parts) == 1:
+            return self._part(parts[0])
+        return [i for part in parts for i in self._part(part)]
+
+    def of_words(self, distinct: list[str], repeated: np.ndarray) -> list[list[int]]:
         """Ids of each word; ``repeated`` marks the words worth keeping."""
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        if len(self.parts) > CACHED_WORDS:
+            self.parts.clear()
         out: list = [self.known.get(w) for w in distinct]
         new = [i for i, ids in enumerate(out) if ids is None]
-        plain = [i for i in new if "<|" not in distinct[i] and "|>" not in distinct[i]]
-        for i in set(new).difference(plain):
-            out[i] = self._encode(distinct[i])
-        for a in range(0, len(plain), 500):
-            part = plain[a:a + 500]
-            ids = self._encode(_SEPARATOR.join(distinct[i] for i in part))
+        joined = []
+        for i in new:
+            word = distinct[i]
+            if "<|" in word or "|>" in word:
+                out[i] = self._encode(word)
+            elif _SIMPLE.fullmatch(word):
+                out[i] = self._simple(word)
+            else:
+                joined.append(i)
+        for a in range(0, len(joined), 500):
+            part = joined[a:a + 500]
+            ids = np.array(self._encode(_SEPARATOR.join(distinct[i] for i in part)), np.uint32)
             for i, own in zip(part, np.split(ids, np.flatnonzero(ids == self.separator))):
-                out[i] = own[1:] if i != part[0] else own
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+                out[i] = (own[1:] if i != part[0] else own).tolist()
         for i in new:
             if repeated[i]:
-                self.known[distinct[i]] = out[i].copy()
+                self.known[distinct[i]] = out[i]
         return out
 
     def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +112,8 @@ class WordIds:
         distinct, idx = encoded(flat)
         per_word = self.of_words(distinct.to_pylist(), np.bincount(idx, minlength=len(distinct)) > 1)
         sizes = np.fromiter((len(x) for x in per_word), np.int64, len(per_word))
-        table = np.concatenate([*per_word, np.zeros(1, np.uint32)])
+        table = np.append(np.fromiter(itertools.chain.from_iterable(per_word), np.uint32,
+                                      int(sizes.sum())), np.uint32(0))
         # the end of each text counts as one more word, whose only id is the last of the table
         ends = np.cumsum(n_words)
         order = np.insert(idx, ends, len(per_word)) if len(ends) else idx
