@@ -191,7 +191,8 @@ def frequent(encoded: DataFrame, longest: int, threshold: int, shards: int = SHA
     """g, w1.., c: every phrase of up to ``longest`` words that occurs ``threshold`` times or more."""
     spark = encoded.sparkSession
     names = ["g", *(f"w{i}" for i in range(1, longest + 1))]
-    tables = [np.zeros(1 << SLOT_BITS, np.uint32) for _ in range(longest - 1)]
+    kind = np.uint16 if longest * shards <= 16 else np.uint32  # a bit for each step
+    tables = [np.zeros(1 << SLOT_BITS, kind) for _ in range(longest - 1)]
     state, path, latest = None, None, -1
     for step in range(longest * shards):
         if step >= shards and step > latest + shards:
@@ -217,12 +218,12 @@ def frequent(encoded: DataFrame, longest: int, threshold: int, shards: int = SHA
             "phrases", path=path)
         if before:
             discard(spark, before)
-        shared.unpersist()
+        shared.destroy()  # with its files
         for n in range(1, longest):
             slots = state.where((F.col("reached") == step) & _length(n, longest)).select(
                 _slot_column(n).alias("slot")).distinct().toArrow()["slot"].to_numpy()
             if len(slots):
-                tables[n - 1][slots] |= np.uint32(1 << step)
+                tables[n - 1][slots] |= kind(1 << step)
                 latest = step
     return state.where(F.col("c") >= threshold).select(*names, "c")
 
