@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 import warnings
 from collections.abc import Iterable, Mapping, Sequence
@@ -29,22 +30,73 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"
 MULTI_LINE = ("order_reviews",)
 
 
+#: Column that keeps a record which doesn't fit its schema.
+CORRUPT = "_corrupt_record"
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files at ``path`` by the column names of their first line (the lines alone are read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found: dict[tuple[str, ...], list[str]] = {}
+    listing = fs.listFiles(root, True)
+    while listing.hasNext():
+        file = listing.next().getPath()
+        below = file.toString()[len(fs.makeQualified(root).toString()):]
+        if any(part.startswith(("_", ".")) for part in below.split("/")):
+            continue
+        stream, codec = fs.open(file), codecs.getCodec(file)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line:
+            names = next(csv.reader([line.removeprefix("\ufeff")], doublequote=True))
+            found.setdefault(tuple(names), []).append(file.toString())
+    return found
+
+
 def read_source(spark: SparkSession, name: str, path: str,
-                schema: T.StructType | None = None) -> DataFrame:
+                schema: T.StructType | None = None, quarantine: bool = False) -> DataFrame:
     """Typed CSV scan of one raw source (never infers the schema).
 
-    Columns go by the header's names in any order; a missing column or a cell that
-    doesn't fit its type is an error.
+    Columns go by the names in each file's own header, in any order, so part files of a
+    folder may differ; a missing column is an error.  A cell that doesn't fit its type is
+    an error too, or with ``quarantine`` its record is kept as text in ``_corrupt_record``
+    (and ``_file`` names its file), whatever columns are read.
     """
     schema = schema or RAW_SCHEMAS[name]
     options = {**CSV_OPTIONS, "multiLine": str(name in MULTI_LINE).lower()}
-    header = spark.read.options(**options).csv(path).columns
-    missing = [c for c in schema.names if c not in header]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    in_file = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType())
-                            for c in header])
-    return spark.read.schema(in_file).options(**options).csv(path).select(*schema.names)
+    extra = []
+    if quarantine:
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                    "columnPruning": "false"}
+        extra = [T.StructField(CORRUPT, T.StringType())]
+    out = None
+    for header, files in sorted(_headers(spark, path).items()):
+        missing = [c for c in schema.names if c not in header]
+        if missing:
+            raise ValueError(f"{', '.join(files[:3])} has no column {', '.join(missing)}")
+        in_file = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType())
+                                for c in header] + extra)
+        part = spark.read.schema(in_file).options(**options).csv(files)
+        if quarantine:
+            # a cell is only checked if its column is read: the (empty) text refers to all of them
+            all_read = F.substring(F.xxhash64(*header).cast("string"), 1, 0)
+            part = part.withColumn("_file", F.col("_metadata.file_path")).withColumn(
+                CORRUPT, F.concat(CORRUPT, all_read)).select(*schema.names, CORRUPT, "_file")
+        else:
+            part = part.select(*schema.names)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType([
+            *schema.fields, *extra, *([T.StructField("_file", T.StringType())] if quarantine else [])]))
+    return out
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -73,6 +125,35 @@ def land_as_parquet(spark: SparkSession, csv_dir: str, out_dir: str,
     return out
 
 
+def land_with_quarantine(spark: SparkSession, csv_dir: str, out_dir: str, quarantine_dir: str,
+                         names: Iterable[str] | None = None) -> DataFrame:
+    """``land_as_parquet`` that keeps going: bad records are written, with their file and text,
+    under ``quarantine_dir/<name>``.  Returns source, loaded, quarantined of the present files.
+
+    The CSV is parsed once for each source; rows and bad records are split from what was written.
+    """
+    present = set(manifest_check(spark, csv_dir).where("present").select("file_name")
+                  .toPandas()["file_name"])
+    rows = []
+    for name in names or SOURCES:
+        file_name = SOURCES[name].file_name
+        if file_name not in present:
+            continue
+        kept = f"{quarantine_dir.rstrip('/')}/{name}"
+        seen = Observation(f"land-{name}")
+        df = read_source(spark, name, f"{csv_dir.rstrip('/')}/{file_name}", quarantine=True)
+        bad = F.col(CORRUPT).isNotNull()
+        parsed = write_table(df.observe(seen, F.count(F.when(~bad, 1)).alias("loaded"),
+                                        F.count(F.when(bad, 1)).alias("quarantined")),
+                             f"{kept}/_parsed")
+        both = spark.read.parquet(parsed)
+        write_table(both.where(~bad).drop(CORRUPT, "_file"), f"{out_dir.rstrip('/')}/{name}")
+        write_table(both.where(bad).select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record")),
+                    f"{kept}/records")
+        rows.append((name, seen.get["loaded"], seen.get["quarantined"]))
+    return spark.createDataFrame(rows, "source string, loaded long, quarantined long")
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 fmt: str = "parquet") -> str:
     """Create-or-replace a table at ``path``."""
