@@ -10,7 +10,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -98,6 +98,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(docs: DataFrame, used: Sequence[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs`` with all columns but ``used`` under names that no operator has, then
+    the columns of ``docs`` again: helper columns can't clash with the user's."""
+    names = [c if c in used else f"__user_{i}" for i, c in enumerate(docs.columns)]
+    done = work(docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names))))
+    return done.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names)))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commerce_marts.llm.common import text_slices, words, written
+from commerce_marts.llm.common import shielded, text_slices, words, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -220,6 +220,12 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
     """The rows of ``docs``, each as many times as the mix takes it.  Documents without
     words cost nothing and stay once.  Rows equal in doc_id, source and text pool their
     copies: the first ones by a hash of the row get one more."""
+    return shielded(docs, ("doc_id", "source", "text"),
+                    lambda d: _taken_rows(d, weights, max_repeat, share, seed))
+
+
+def _taken_rows(docs: DataFrame, weights: Sequence[float], max_repeat: float, share: float,
+                seed: int) -> DataFrame:
     taken = mix(docs, weights, max_repeat, share, seed)
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_id"), source_key(),
            F.col("_h")]

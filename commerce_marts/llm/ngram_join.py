@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commerce_marts.llm.common import (BASE, doc_key, key_to_id, list_array, mixed, partitions,
-                                       rolling, signed, text_slices, word_hashes, words, written)
+                                       rolling, shielded, signed, text_slices, word_hashes, words, written)
 
 N = 5
 THRESHOLD = 0.8
@@ -307,6 +307,10 @@ def _join(docs: DataFrame, n: int, threshold: float, recall: float, block: int):
 def deduplicated(docs: DataFrame, n: int = N, threshold: float = THRESHOLD,
                  recall: float = RECALL) -> DataFrame:
     """One document of each class of linked documents, with the columns of ``docs``."""
+    return shielded(docs, ("doc_id", "text"), lambda d: _one_of_each(d, n, threshold, recall))
+
+
+def _one_of_each(docs: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
     stays = _join(docs, n, threshold, recall, BLOCK)[1].where("stays").select(
         "_c", F.col("first").alias("_key"))
     has_words = F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))

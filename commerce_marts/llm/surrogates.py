@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commerce_marts.llm.common import text_slices, written
+from commerce_marts.llm.common import shielded, text_slices, written
 
 KEY = b"surrogates"
 #: Character classes; letters and numbers of none of them have those of ``_others``.
@@ -49,8 +49,8 @@ _SHORT_CODES = re.compile("1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0
 _MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c)[0] == "M")
 _WORD = rf"[^\W\d_](?:[^\W\d_]|[{_MARKS}]|['’\-](?=[^\W\d_])){{0,40}}"
 PATTERN = re.compile("|".join((
-    r"(?P<email>(?<![\w.%+\-])[\w.%+\-]{1,64}@(?:[\w\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w\-]))",
-    r"(?P<key>(?<!\w)(?:AKIA|ASIA|ghp_|sk-)[A-Za-z0-9]{16,64}(?!\w))",
+    r"(?P<email>(?<![\w.%+\-])[\w.%+\-]++@(?:[\w\-]++\.)+[A-Za-z]{2,}(?![\w\-]))",
+    r"(?P<key>(?<!\w)(?:(?:AKIA|ASIA|ghp_)[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_\-]{16,})(?!\w))",
     rf"(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))",
     r"(?P<ssn>(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-]))",
     r"(?P<card>(?<![\w+])\d(?:[ \-]?\d){12,18}(?!\w))",
@@ -314,3 +314,8 @@ def checked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     if bad["n"]:
         raise ValueError(f"{bad['n']} surrogates collide or kept their value, kind {bad['kind']} first")
     return done
+
+
+def replaced_documents(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+    """``checked`` with the columns of ``docs`` alone, whatever they are called."""
+    return shielded(docs, ("text",), lambda d: checked(d, key))

@@ -10,7 +10,8 @@ travel to the shards in rows of one shard's queries each; a task holds the
 blocks of one shard and one such row at a time.
 
 Scores are exact integers: floats while every sum is below 2^53, Python integers
-beyond (clipped to 64 bits).
+beyond; one that passes 64 bits is an error, as is a finite component whose scaled value
+passes the doubles.
 
 Nulls: a null id or vector, and a vector with null or non-finite components,
 takes no part.  Components that a shorter vector lacks count as 0.  Ties go to
@@ -51,8 +52,11 @@ def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if i is None or not v.is_valid or v.values.null_count:
                     continue
-                x = np.floor(v.values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
+                x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 if np.isfinite(x).all():
+                    x = np.floor(x * scale)
+                    if not np.isfinite(x).all():
+                        raise OverflowError(f"a component of vector {i} passes the doubles")
                     ids.append(i)
                     out.append(x)
             yield pa.RecordBatch.from_arrays(
@@ -124,9 +128,10 @@ def index(found: DataFrame, every: int, block_rows: int = BLOCK_ROWS) -> DataFra
 def _scores(q: np.ndarray, m: np.ndarray) -> np.ndarray:
     if np.abs(q).max(initial=0) * np.abs(m).max(initial=0) * len(q) < _EXACT:
         return (m @ q).astype(np.int64)
-    limit = (1 << 63) - 1
-    return np.array([max(-limit, min(limit, sum(int(a) * int(b) for a, b in zip(q, row))))
-                     for row in m], np.int64)
+    exact = [sum(int(a) * int(b) for a, b in zip(q, row)) for row in m]
+    if any(abs(x) >> 63 for x in exact):
+        raise OverflowError("an inner product passes 64 bits")
+    return np.array(exact, np.int64)
 
 
 class _Shard:

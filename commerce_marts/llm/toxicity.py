@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commerce_marts.llm.common import encoded, text_slices, words, written
+from commerce_marts.llm.common import encoded, shielded, text_slices, words, written
 
 SPAN = 6
 DECAY = 0.6
@@ -366,6 +366,5 @@ def clean(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataF
         return docs if model < THRESHOLD else docs.limit(0)
     *parts, slope, offset = model
     shared = docs.sparkSession.sparkContext.broadcast(parts)
-    scored = margins(docs, shared, docs.columns)
     score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("margin") + F.lit(offset))))
-    return scored.where(score < THRESHOLD).select(*(f"`{c}`" for c in docs.columns))
+    return shielded(docs, ("text",), lambda d: margins(d, shared, d.columns).where(score < THRESHOLD))
