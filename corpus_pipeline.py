@@ -35,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates; n_chars counts the new text."""
     ship(spark)
-    new = surrogates.checked(docs).drop("_entities")
+    new = surrogates.replaced_documents(docs)
     return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)
                           ) if "n_chars" in docs.columns else new
 
