@@ -1,8 +1,10 @@
 """Surrogates for personal data: keyed, of the same type and format.
 
-Entities: e-mail and IP addresses, phone, card and social security numbers, access
-keys, names after a title, and every other mention of a word of such a name in the
-same document that doesn't begin in lower case.  Every entity is read as a number in
+Entities: e-mail, IPv4 and IPv6 addresses, phone, card, account (IBAN) and social
+security numbers, access keys, values of eight characters or more with a digit that are
+assigned to a password, secret, token or key, names of any number of words after one or
+more titles, and every other mention of a word of such a name in the same document that
+doesn't begin in lower case.  Every entity is read as a number in
 the mixed base of its format: each character's base is its class (digit, vowel or
 consonant of its script and case, accented letters; any other letter or number by its
 Unicode block, category and case).  A keyed Feistel permutation P of that range
@@ -10,8 +12,13 @@ gives the surrogate as P^-1(P(x) + 1): distinct entities of a format always have
 distinct surrogates, none is its own, and equal entities have equal ones in every
 document without any exchange between tasks.  ``collisions`` checks that on any
 result, ``checked`` on the result that is written.  Titles, separators, the case of
-letters, country codes, leading zeros of phone numbers, key prefixes, card check
-digits, octet widths, combining marks and the endings of names that carry gender stay.
+letters, country codes, leading zeros of phone numbers, key prefixes, card and account
+check digits, octet widths, the first two digits of IPv6 addresses, combining marks,
+particles of names and the endings of names that carry gender stay.  Two spellings of
+one IPv6 address are two entities.
+
+The key is the argument, else the setting ``spark.surrogates.key`` of the session, else
+random for this driver process: only who sets a key gets the same surrogates again.
 
 Nulls: a null text stays null and has no entities; an empty text stays empty.
 Texts of any length are read whole.  Repeated rows get equal results; extra columns
@@ -23,18 +30,21 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import secrets
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_marts.llm.common import shielded, text_slices, written
 
-KEY = b"surrogates"
+KEY_SETTING = "spark.surrogates.key"
+#: Entities with more digits move in parts of this many, so that the work grows with their length.
+PART_DIGITS = 512
 #: Character classes; letters and numbers of none of them have those of ``_others``.
 CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäéèêëíìîïóòôöúùûü", "çñ",
            "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
@@ -47,17 +57,36 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _SHORT_CODES = re.compile("1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
 #: Combining marks, which ``isalnum`` lacks.
 _MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c)[0] == "M")
-_WORD = rf"[^\W\d_](?:[^\W\d_]|[{_MARKS}]|['’\-](?=[^\W\d_])){{0,40}}"
+_WORD = rf"[^\W\d_](?:[^\W\d_]|[{_MARKS}]|['’\-](?=[^\W\d_]))*+"
+_LOWER = "".join(c for c in map(chr, range(0x1F000)) if c.islower())
+#: Blanks within a line.
+_BLANK = r"[^\S\n-\r\x1c-\x1e\x85  ]"
+#: Particles between the words of a name.
+PARTICLES = ("von", "van", "de", "der", "den", "del", "della", "di", "da", "dos", "du", "la", "le",
+             "bin", "al", "el", "y")
+_TITLE = rf"(?:(?:{'|'.join(TITLES)})(?:\.\s*|\s+))+"
+_NAMED = rf"(?![{_LOWER}]){_WORD}"
+_HEX = "[0-9A-Fa-f]{1,4}"
 PATTERN = re.compile("|".join((
     r"(?P<email>(?<![\w.%+\-])[\w.%+\-]++@(?:[\w\-]++\.)+[A-Za-z]{2,}(?![\w\-]))",
     r"(?P<key>(?<!\w)(?:(?:AKIA|ASIA|ghp_)[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_\-]{16,})(?!\w))",
+    r"(?P<assigned>(?<![A-Za-z0-9])(?i:password|passwd|secret|token|api_?key|access_?key)"
+    r"""["']?\s*[:=]\s*["']?(?P<hidden>(?=[A-Za-z+/_.=\-]*[0-9])[A-Za-z0-9+/_.=\-]{7,}[A-Za-z0-9+/_=]))""",
     rf"(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))",
+    rf"(?P<ip6>(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:[23][0-9A-Fa-f]{{3}}|[fF][cdeCDE][0-9A-Fa-f]{{2}})"
+    rf"(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\w:]))",
+    r"(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))",
     r"(?P<ssn>(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-]))",
     r"(?P<card>(?<![\w+])\d(?:[ \-]?\d){12,18}(?!\w))",
     r"(?P<phone>(?<![\w+])(?:\+1(?:[ .\-]?\(?\d\)?){10}|\+[2-9](?:[ .\-]?\(?\d\)?){7,14}"
     r"|(?<!\d[ .\-])0\d(?P<sep>[ .\-])\d\d(?:(?P=sep)\d\d){3}(?![ .\-]\d)"
-    r"|(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4})(?!\w))",
-    rf"(?P<name>(?<!\w)(?:{'|'.join(TITLES)})\.?[ ]{_WORD}(?:[ ]{_WORD})?(?!\w))")))
+    r"|(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}"
+    r"|(?:\(\d{3}\)[ ]?|\d{3}[ .\-])\d{7}"
+    r"|(?:(?<=[Tt]el )|(?<=[Tt]el: )|(?<=[Tt]el\. )|(?<=[Cc]all )|(?<=[Pp]hone )|(?<=[Pp]hone: ))\d{10})"
+    r"(?!\w))",
+    rf"(?P<name>(?<!\w){_TITLE}{_NAMED}"
+    rf"(?:(?<!['’][sS])(?:{_BLANK}+(?:{'|'.join(PARTICLES)}))*{_BLANK}+{_NAMED})*(?!\w))")))
+_TITLES = re.compile(_TITLE)
 _NAME = re.compile(_WORD)
 _POSSESSIVE = re.compile("['’][sS]$")
 
@@ -91,6 +120,11 @@ def permuted(x: int, size: int, key: bytes, tweak: str, back: bool = False) -> i
 
 def moved(digits: list[int], bases: list[int], key: bytes, tweak: str) -> list[int]:
     """The surrogate of a number in a mixed base; only a range of one keeps its value."""
+    if len(digits) > PART_DIGITS:
+        mark = f"{len(digits)}|{hashlib.sha256(tweak.encode()).hexdigest()}"
+        return [d for i in range(0, len(digits), PART_DIGITS)
+                for d in moved(digits[i:i + PART_DIGITS], bases[i:i + PART_DIGITS], key,
+                               f"{mark}|{i}")]
     x, size = 0, 1
     for d, b in zip(digits, bases):
         x, size = x * b + d, size * b
@@ -181,8 +215,46 @@ def _put_digits(text: str, digits: str) -> str:
     return "".join(next(left) if c.isdigit() else c for c in text)
 
 
+def _remainder(letters: str) -> int:
+    """An account number's value modulo 97, country and check digits last."""
+    rest = 0
+    for c in letters[4:] + letters[:4]:
+        rest = (rest * (100 if c.isalpha() else 10) + int(c, 36)) % 97
+    return rest
+
+
+def _account(text: str, key: bytes) -> str:
+    """Country and layout stay, the check digits fit the new number."""
+    compact = text.replace(" ", "")
+    new = shaped(compact[4:], key, f"iban{compact[:2]}")
+    check = 98 - _remainder(f"{compact[:2]}00{new}")
+    left = iter(f"{compact[:2]}{check:02d}{new}")
+    return "".join(c if c == " " else next(left) for c in text)
+
+
+def _address6(text: str, key: bytes) -> str:
+    """The first two digits and the widths of the groups stay."""
+    at = [i for i, c in enumerate(text) if c != ":"][2:]
+    shape = re.sub("[^:]", "x", text)
+    new = moved([int(text[i], 16) for i in at], [16] * len(at), key, f"ip6|{text[:2].lower()}|{shape}")
+    digits = "0123456789ABCDEF" if text.upper() == text else "0123456789abcdef"
+    out = list(text)
+    for i, d in zip(at, new):
+        out[i] = digits[d]
+    return "".join(out)
+
+
+_PROCESS_KEY = secrets.token_bytes(32)
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key of the session's setting; without one, this driver process's random key."""
+    own = spark.conf.get(KEY_SETTING, None)
+    return own.encode() if own else _PROCESS_KEY
+
+
 @lru_cache(200_000)
-def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
+def surrogate(kind: str, text: str, key: bytes) -> str:
     """The replacement of an entity."""
     if kind == "email":
         local, domain = text.rsplit("@", 1)
@@ -195,12 +267,17 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
         new = moved([int(p) - low[len(p)] for p in parts], bases, key, f"ip|{bases}")
         return ".".join(str(n + low[len(p)]) for n, p in zip(new, parts))
     if kind == "key":
-        head = re.match("AKIA|ASIA|ghp_|sk-", text).group()
+        head = re.match("(?:AKIA|ASIA|ghp_|sk-)?", text).group()
         return head + shaped(text[len(head):], key, f"key{head}{[c.isupper() for c in text]}")
     if kind == "name":
-        title, rest = text.split(" ", 1) if " " in text else ("", text)
-        new = re.sub("[^ -]+", lambda w: _called(w.group(), key), rest)
-        return f"{title} {new}" if title else new
+        title = _TITLES.match(text)
+        head = title.group() if title else ""
+        return head + re.sub(r"[^\s\-]+", lambda w: w.group() if w.group() in PARTICLES else
+                             _called(w.group(), key), text[len(head):])
+    if kind == "iban":
+        return _account(text, key)
+    if kind == "ip6":
+        return _address6(text, key)
     digits = "".join(c for c in text if c.isdigit())
     if kind == "card":
         valid = _luhn(digits) == 0
@@ -222,22 +299,31 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
     return _put_digits(text, shaped(digits, key, kind))
 
 
-def replaced(text: str, key: bytes = KEY) -> tuple[str, list[dict]]:
+def _entities(text: str) -> Iterator[tuple[int, str, str]]:
+    """Start, kind and value of what the patterns find."""
+    at = 0
+    while m := PATTERN.search(text, at):
+        start, kind, value, at = m.start(), m.lastgroup, m.group(), m.end()
+        if kind == "iban":
+            compact = value.replace(" ", "")
+            if _remainder(compact) != 1 or not "02" <= compact[2:4] <= "98":
+                at = start + 4  # no account number; what follows may be a card
+                continue
+        elif kind == "assigned":
+            start, kind, value = m.start("hidden"), "key", m.group("hidden")
+        elif kind == "name":
+            value = _POSSESSIVE.sub("", value)
+        yield start, kind, value
+
+
+def replaced(text: str, key: bytes | None = None) -> tuple[str, list[dict]]:
     """The text with surrogates, and (kind, start, value, surrogate) of each entity;
     start is in code points of the given text."""
-    spans = []
-    for m in PATTERN.finditer(text):
-        kind, value = m.lastgroup, m.group()
-        if kind == "name":
-            words = value.split(" ")
-            if words[1][0].islower():
-                continue
-            if len(words) > 2 and (words[2][0].islower() or _POSSESSIVE.search(words[1])):
-                words = words[:2]
-            value = _POSSESSIVE.sub("", " ".join(words))
-        spans.append((m.start(), kind, value))
+    key = key or _PROCESS_KEY
+    spans = list(_entities(text))
     names = {w.lower() for _, kind, value in spans if kind == "name"
-             for w in re.split("[ -]", value)[1:] if w}
+             for w in re.split(r"[\s\-]+", value[_TITLES.match(value).end():])
+             if w and w not in PARTICLES}
     if names:
         spans = _with_mentions(text, spans, names)
     found, out, last = [], [], 0
@@ -271,8 +357,9 @@ ENTITY = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("value", pa.s
                     ("surrogate", pa.string())])
 
 
-def with_surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def with_surrogates(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """``docs`` with replaced texts, and ``_entities`` beside its columns."""
+    key = key or session_key(docs.sparkSession)
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -306,7 +393,7 @@ def collisions(replaced_docs: DataFrame) -> DataFrame:
     return by[0].unionByName(by[1]).unionByName(same)
 
 
-def checked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def checked(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """``with_surrogates``, written, and an error if ``collisions`` finds any row in it;
     it groups the distinct entities in hash buckets of the entity and of the surrogate."""
     done = written(with_surrogates(docs, key), "surrogates")
@@ -316,6 +403,6 @@ def checked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return done
 
 
-def replaced_documents(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def replaced_documents(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """``checked`` with the columns of ``docs`` alone, whatever they are called."""
     return shielded(docs, ("text",), lambda d: checked(d, key))
