@@ -14,7 +14,6 @@ operators/  generic DataFrame operators (dedup, surrogate keys, calendar,
             aggregates, quality checks)
 plans/      the concrete models composed from the operators (staging,
             warehouse, marts, reports, quality)
-streaming/  intentionally empty: the modelled workload is batch only
 """
 
 from commerce_marts.session import ensure_checkpoint_dir, get_session

@@ -5,8 +5,8 @@ codegen; none is a Python UDF.
 """
 
 from commerce_marts.functions.scalar import (
-    cents_mean,
-    cents_sum,
+    money_mean,
+    money_sum,
     date_key,
     days_between,
     lower_trim,
@@ -18,6 +18,6 @@ from commerce_marts.functions.scalar import (
 )
 
 __all__ = [
-    "cents_mean", "cents_sum", "date_key", "days_between", "lower_trim", "pct",
+    "money_mean", "money_sum", "date_key", "days_between", "lower_trim", "pct",
     "price_band", "round_half_up", "safe_timestamp", "upper_trim",
 ]

@@ -53,15 +53,15 @@ def money_total(c: ColumnOrName) -> Column:
         F.raise_error(F.lit("sum outside of " + MONEY)).cast(MONEY))
 
 
-def cents_sum(c: ColumnOrName) -> Column:
+def money_sum(c: ColumnOrName) -> Column:
     """Exact sum of a money column as a double; NULL if none."""
     return money_total(money(c)).cast("double")
 
 
-def cents_mean(c: ColumnOrName) -> Column:
+def money_mean(c: ColumnOrName) -> Column:
     """Exact mean of a money column: exact sum divided by the count."""
     n = F.count(_c(c))
-    return F.when(n > 0, cents_sum(c) / n)
+    return F.when(n > 0, money_sum(c) / n)
 
 
 def pct(numerator: ColumnOrName, denominator: ColumnOrName, n: int = 1) -> Column:

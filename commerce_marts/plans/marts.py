@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commerce_marts.functions import cents_mean, cents_sum, pct, price_band, round_half_up
+from commerce_marts.functions import money_mean, money_sum, pct, price_band, round_half_up
 from commerce_marts.functions.scalar import DEFAULT_BAND_CUTS, money, money_total
 from commerce_marts.plans.warehouse import (
     delivery_columns,
@@ -46,7 +46,7 @@ def int_orders_items_joined(items: DataFrame, orders: DataFrame, payments: DataF
 def int_products_enriched(products: DataFrame, translation: DataFrame, items: DataFrame,
                           cuts: Sequence[float] = DEFAULT_BAND_CUTS) -> DataFrame:
     prices = items.groupBy("product_id").agg(
-        round_half_up(cents_mean("price"), 2).alias("avg_price"),
+        round_half_up(money_mean("price"), 2).alias("avg_price"),
         F.count(F.lit(1)).alias("total_items_sold"))
     joined = (products.join(translation, "product_category_name", "left")
               .join(prices, "product_id", "left"))

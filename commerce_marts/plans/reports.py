@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commerce_marts.functions import cents_mean, cents_sum, pct, round_half_up
+from commerce_marts.functions import money_mean, money_sum, pct, round_half_up
 from commerce_marts.operators.aggregates import extremes, share_of_total, trend_line, weighted_mean
 
 
@@ -32,7 +32,7 @@ def _fact_product(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
 
 def revenue_by_state(fact: DataFrame, dim_cust: DataFrame, k: int | None = 10) -> DataFrame:
     out = _fact_state(fact, dim_cust).groupBy("customer_state").agg(
-        round_half_up(cents_sum("price"), 0).alias("revenue"),
+        round_half_up(money_sum("price"), 0).alias("revenue"),
         F.count_distinct("order_id").alias("orders"))
     out = out.orderBy(F.col("revenue").desc(), F.col("customer_state").asc_nulls_last())
     return out.limit(k) if k else out
@@ -40,7 +40,7 @@ def revenue_by_state(fact: DataFrame, dim_cust: DataFrame, k: int | None = 10) -
 
 def revenue_over_time(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (_fact_date(fact, dim_date).groupBy("year", "month").agg(
-        round_half_up(cents_sum("price"), 0).alias("revenue"),
+        round_half_up(money_sum("price"), 0).alias("revenue"),
         F.count_distinct("order_id").alias("orders"))
         .select("year", "month", F.format_string("%d-%02d", "year", "month").alias("period"),
                 "revenue", "orders")
@@ -50,7 +50,7 @@ def revenue_over_time(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def top_categories(fact: DataFrame, dim_prod: DataFrame, k: int = 15) -> DataFrame:
     return (_fact_product(fact, dim_prod).where(F.col("product_category_en").isNotNull())
             .groupBy(F.col("product_category_en").alias("category"))
-            .agg(round_half_up(cents_sum("price"), 0).alias("revenue"),
+            .agg(round_half_up(money_sum("price"), 0).alias("revenue"),
                  F.count(F.lit(1)).alias("items_sold"))
             .orderBy(F.col("revenue").desc(), F.col("category").asc_nulls_last())
             .limit(k))
@@ -73,14 +73,14 @@ def delivery_satisfaction_trend(points: DataFrame) -> DataFrame:
 def orders_by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (_fact_date(fact, dim_date).groupBy("day_name", "day_of_week").agg(
         F.count_distinct("order_id").alias("orders"),
-        round_half_up(cents_sum("price"), 0).alias("revenue"))
+        round_half_up(money_sum("price"), 0).alias("revenue"))
         .orderBy("day_of_week"))
 
 
 def price_bands(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
     out = _fact_product(fact, dim_prod).groupBy("price_band").agg(
         F.count(F.lit(1)).alias("items"),
-        round_half_up(cents_sum("price"), 0).alias("revenue"))
+        round_half_up(money_sum("price"), 0).alias("revenue"))
     out = share_of_total(out, "items", "items_pct", 1)
     out = share_of_total(out, "revenue", "revenue_pct", 1)
     return out.orderBy(F.col("revenue").desc(), "price_band")
@@ -89,8 +89,8 @@ def price_bands(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
 def payment_types(payments: DataFrame) -> DataFrame:
     return (payments.groupBy("payment_type").agg(
         F.count(F.lit(1)).alias("transactions"),
-        round_half_up(cents_mean("payment_value"), 2).alias("avg_value"),
-        round_half_up(cents_sum("payment_value"), 0).alias("total_value"))
+        round_half_up(money_mean("payment_value"), 2).alias("avg_value"),
+        round_half_up(money_sum("payment_value"), 0).alias("total_value"))
         .orderBy(F.col("transactions").desc(), "payment_type"))
 
 
@@ -109,8 +109,8 @@ def executive_summary(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame,
     late = F.sum(F.when(F.col("delivery_delay_days") > 0, 1).otherwise(0))
     return fact.agg(
         F.count_distinct("order_id").alias("total_orders"),
-        round_half_up(cents_sum("price"), 2).alias("revenue_total"),
-        round_half_up(cents_mean("price"), 2).alias("avg_item_price"),
+        round_half_up(money_sum("price"), 2).alias("revenue_total"),
+        round_half_up(money_mean("price"), 2).alias("avg_item_price"),
         round_half_up(F.avg("review_score"), 2).alias("avg_review_score"),
         round_half_up(F.avg("days_to_deliver"), 1).alias("avg_days_to_deliver"),
         pct(late, F.count("days_to_deliver"), 1).alias("pct_late"),
@@ -123,8 +123,8 @@ def executive_summary(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame,
 def verify_revenue_by_state(fact: DataFrame, dim_cust: DataFrame, k: int = 5) -> DataFrame:
     return (_fact_state(fact, dim_cust).groupBy("customer_state").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        round_half_up(cents_sum("price"), 2).alias("revenue_total"),
-        round_half_up(cents_mean("price"), 2).alias("avg_item_price"),
+        round_half_up(money_sum("price"), 2).alias("revenue_total"),
+        round_half_up(money_mean("price"), 2).alias("avg_item_price"),
         round_half_up(F.avg("days_to_deliver"), 1).alias("avg_days_to_deliver"))
         .orderBy(F.col("revenue_total").desc(), "customer_state").limit(k))
 
@@ -157,7 +157,7 @@ def latest_orders(orders: DataFrame, k: int = 5) -> DataFrame:
 
 def revenue_share_by_state(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
     out = _fact_state(fact, dim_cust).groupBy("customer_state").agg(
-        round_half_up(cents_sum("price"), 2).alias("revenue"))
+        round_half_up(money_sum("price"), 2).alias("revenue"))
     return share_of_total(out, "revenue", "revenue_pct", 1).orderBy(
         F.col("revenue").desc(), "customer_state")
 
@@ -170,12 +170,12 @@ def payment_share(payments: DataFrame) -> DataFrame:
 
 def dashboard_measures(sales: DataFrame, delivery: DataFrame) -> DataFrame:
     """Dashboard cards: revenue, mean on-time rate (unweighted), ticket, review."""
-    on_time = delivery.select(round_half_up(cents_mean("on_time_rate_pct"), 2)).scalar()
-    total = cents_sum("total_revenue")
+    on_time = delivery.select(round_half_up(money_mean("on_time_rate_pct"), 2)).scalar()
+    total = money_sum("total_revenue")
     return sales.agg(
         round_half_up(total, 2).alias("total_revenue"),
         round_half_up(total / F.sum("total_orders"), 2).alias("avg_ticket"),
-        round_half_up(cents_mean("avg_review_score"), 2).alias("avg_review"),
+        round_half_up(money_mean("avg_review_score"), 2).alias("avg_review"),
     ).select("total_revenue", on_time.alias("on_time_rate"), "avg_ticket", "avg_review")
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_marts.functions import (
-    cents_mean,
-    cents_sum,
+    money_mean,
+    money_sum,
     date_key,
     days_between,
     price_band,
@@ -54,8 +54,8 @@ def dim_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
 def product_prices(items: DataFrame) -> DataFrame:
     """Per product: exact mean price, 2-decimal mean, items sold."""
     return items.groupBy("product_id").agg(
-        cents_mean("price").alias("avg_price"),
-        round_half_up(cents_mean("price"), 2).alias("avg_price_2"),
+        money_mean("price").alias("avg_price"),
+        round_half_up(money_mean("price"), 2).alias("avg_price_2"),
         F.count(F.lit(1)).alias("total_items_sold"))
 
 
@@ -83,7 +83,7 @@ def order_payments_agg(payments: DataFrame, with_mode: bool = True) -> DataFrame
     """Per order: exact total payment, main payment type (mode), payment count."""
     from commerce_marts.operators.aggregates import mode_of
 
-    aggs = [cents_sum("payment_value").alias("total_payment_value")]
+    aggs = [money_sum("payment_value").alias("total_payment_value")]
     if with_mode:
         aggs.append(mode_of("payment_type").alias("main_payment_type"))
     aggs.append(F.count(F.lit(1)).alias("n_payments"))

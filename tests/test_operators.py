@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from commerce_marts.functions import cents_mean, pct, price_band, round_half_up
+from commerce_marts.functions import money_mean, pct, price_band, round_half_up
 from commerce_marts.operators.aggregates import mode_of, share_of_total, trend_line
 from commerce_marts.operators.calendar import build_calendar, date_bounds
 from commerce_marts.operators.dedup import dedup_by_key, latest_per_key
@@ -109,7 +109,7 @@ def test_cents_mean_is_exact_and_partition_independent(spark):
     cents = [rnd.randint(1, 10_000_000) for _ in range(5000)]
     df = spark.createDataFrame([(c / 100,) for c in cents], "x double")
     expected = (sum(cents) / 100.0) / len(cents)  # exact sum, one division
-    got = {df.repartition(n).agg(cents_mean("x").alias("m")).first().m for n in (1, 3, 7)}
+    got = {df.repartition(n).agg(money_mean("x").alias("m")).first().m for n in (1, 3, 7)}
     assert got == {expected}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from commerce_marts.functions import cents_mean, cents_sum
+from commerce_marts.functions import money_mean, money_sum
 from commerce_marts.operators.keys import surrogate_key
 from commerce_marts.plans import marts as M
 from commerce_marts.plans import quality as PQ
@@ -59,7 +59,7 @@ def _amounts(spark, values):
     ([0.004] * 3, 0.012), ([1e17], 1e17), ([1e17, 0.01, -1e17], 0.01), ([1e-7] * 4, 4e-7),
     ([0.1] * 10, 1.0), ([-0.005, -0.005], -0.01)])
 def test_money_is_summed_without_rounding_or_saturation(spark, values, total):
-    r = _amounts(spark, values).agg(cents_sum("x").alias("s"), cents_mean("x").alias("m")).first()
+    r = _amounts(spark, values).agg(money_sum("x").alias("s"), money_mean("x").alias("m")).first()
     assert (r.s, r.m) == (total, total / len(values))
 
 
@@ -70,7 +70,7 @@ def test_money_over_the_range_is_an_error(spark, ansi, values):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
         with pytest.raises(Exception, match="outside of decimal|[Oo]verflow|OUT_OF_RANGE"):
-            _amounts(spark, values).agg(cents_sum("x")).collect()
+            _amounts(spark, values).agg(money_sum("x")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
