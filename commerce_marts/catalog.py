@@ -14,8 +14,8 @@ from commerce_marts.operators.dedup import dedup_by_key
 from commerce_marts.operators.keys import surrogate_key
 from commerce_marts.operators import quality as Q
 from commerce_marts.plans import marts as M
+from commerce_marts.plans import published as PB
 from commerce_marts.plans import quality as PQ
-from commerce_marts.plans import reports as R
 from commerce_marts.plans import staging as S
 from commerce_marts.plans import warehouse as W
 from commerce_marts.plans.build import build_all, build_run
@@ -133,14 +133,26 @@ def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full refresh of every layer, published, then the row counts of the published tables,
     each read back and compared with its checksum."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
-    build_all(spark, _layers(spark, sf_dir), store.root)
-    store.verify()
-    return store.catalog(total=None)
-
-
-def _trend(p: Layers) -> DataFrame:
-    return R.delivery_satisfaction_trend(
-        R.delivery_vs_satisfaction(p.fact_orders, p.dim_customers))
+    try:
+        build_all(spark, _layers(spark, sf_dir), store.root)
+        store.verify()
+        return store.catalog(total=None)
+    finally:
+        store.drop()
+
+
+def report_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of every report: the warehouse is built and published once, the reports are
+    written from it and read back as published.  The few rows are brought over, the files go."""
+    store = TableStore(spark, scratch_path(spark, "book"))
+    try:
+        build_all(spark, _layers(spark, sf_dir), store.root)
+        PB.publish_reports(store)
+        kept = store.tables()
+        values = PB.report_values({n: kept[n] for n in PB.report_set()})
+        return spark.createDataFrame(values.collect(), values.schema)
+    finally:
+        store.drop()
 
 
 QUERIES: dict[str, Query] = {
@@ -181,40 +193,8 @@ QUERIES: dict[str, Query] = {
     "mart_product_performance": _q(lambda p: p.mart_product_performance),
     "mart_delivery_kpis": _q(lambda p: p.mart_delivery_kpis),
     # reports
-    "revenue_by_state": _qw(lambda p: R.revenue_by_state(p.fact_orders, p.dim_customers)),
-    "revenue_over_time": _qw(lambda p: R.revenue_over_time(p.fact_orders, p.dim_date)),
-    "top_categories": _qw(lambda p: R.top_categories(p.fact_orders, p.dim_products)),
-    "delivery_vs_satisfaction": _qw(
-        lambda p: R.delivery_vs_satisfaction(p.fact_orders, p.dim_customers)),
-    "delivery_satisfaction_trend": _qw(_trend),
-    "orders_by_weekday": _qw(lambda p: R.orders_by_weekday(p.fact_orders, p.dim_date)),
-    "price_bands": _qw(lambda p: R.price_bands(p.fact_orders, p.dim_products)),
-    "payment_types": _q(lambda p: R.payment_types(p.staging["order_payments"])),
-    "review_distribution": _q(lambda p: R.review_distribution(p.staging["order_reviews"])),
-    "review_avg_score": _q(lambda p: R.review_avg_score(
-        R.review_distribution(p.staging["order_reviews"]))),
-    "executive_summary": _qw(lambda p: R.executive_summary(
-        p.fact_orders, p.dim_customers, p.dim_products, p.dim_sellers)),
-    "verify_revenue_by_state": _qw(
-        lambda p: R.verify_revenue_by_state(p.fact_orders, p.dim_customers)),
-    "delivery_metrics": _qw(lambda p: R.delivery_metrics(p.fact_orders)),
-    "orders_customers_check": _q(lambda p: R.orders_customers_check(
-        p.staging["orders"], p.staging["customers"])),
-    "latest_orders": _q(lambda p: R.latest_orders(p.staging["orders"])),
-    "revenue_share_by_state": _qw(
-        lambda p: R.revenue_share_by_state(p.fact_orders, p.dim_customers)),
-    "payment_share": _q(lambda p: R.payment_share(p.staging["order_payments"])),
-    "dashboard_measures": _q(lambda p: R.dashboard_measures(
-        p.mart_sales_by_region, p.mart_delivery_kpis)),
-    "delivery_heatmap": _q(lambda p: R.delivery_heatmap(p.mart_delivery_kpis, BND.STATES)),
-    "month_state_heatmap": _q(lambda p: R.month_state_heatmap(
-        p.int_orders_items_joined, p.views["stg_customers"], BND.STATES)),
-    "delivery_insights": _qw(lambda p: R.delivery_insights(
-        R.orders_by_weekday(p.fact_orders, p.dim_date), p.fact_orders)),
-    "on_time_by_state": _q(lambda p: R.on_time_by_state(
-        p.int_orders_items_joined, p.views["stg_customers"])),
-    "price_vs_review": _qw(lambda p: R.price_vs_review(
-        p.mart_product_performance, R.top_categories(p.fact_orders, p.dim_products, 10))),
+    **{n: (_qw if r.over_fact else _q)(r.of) for n, r in PB.report_set().items()},
+    "report_book": report_book,
     # quality
     "profile_summary": _q(lambda p: PQ.profile_summary(p.raw)),
     "profile_nulls": _q(lambda p: PQ.profile_nulls(p.raw)),

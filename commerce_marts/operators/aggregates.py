@@ -8,6 +8,7 @@
 * ``extremes`` — the labels with the largest and smallest measure.
 * ``trend_line`` — least-squares line (``regr_slope``/``regr_intercept``),
   reported only with at least two points and two distinct x values.
+* ``correlation`` — Pearson's, NULL where it is undefined.
 * ``weighted_mean`` — Σ(value·weight) / Σweight.
 """
 
@@ -52,6 +53,14 @@ def trend_line(df: DataFrame, x: str, y: str, digits: int = 6) -> DataFrame:
     )
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's correlation of rows where neither is NULL; callers leave out other rows.
+
+    NULL where either does not vary: the built-in ``corr`` divides by zero there, an error in
+    ANSI mode."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def weighted_mean(value: str | Column, weight: str | Column) -> Column:
     v = F.col(value) if isinstance(value, str) else value
     w = F.col(weight) if isinstance(weight, str) else weight

@@ -22,7 +22,8 @@ from commerce_marts.plans.layers import Layers
 from commerce_marts.sources.schemas import SOURCES, WAREHOUSE_KEYS, WAREHOUSE_SCHEMAS
 from commerce_marts.sources.store import INTERMEDIATE, ConstraintViolation, StoreRun, TableStore
 
-__all__ = ["ConstraintViolation", "build_all", "build_run", "read_layer", "refresh_months"]
+__all__ = ["ConstraintViolation", "build_all", "build_run", "read_layer", "refresh_months",
+           "write_together"]
 
 #: Staging tables that are joined by order_id.
 BY_ORDER = ("order_items", "orders", "order_payments", "order_reviews")
@@ -39,7 +40,8 @@ def with_month(fact: DataFrame) -> DataFrame:
 AT_ONCE = 4
 
 
-def _together(writes: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+def write_together(writes: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Runs the writes ``AT_ONCE`` at a time; what each returns, by name."""
     with ThreadPoolExecutor(AT_ONCE) as pool:
         started = {name: pool.submit(write) for name, write in writes.items()}
         return {name: job.result() for name, job in started.items()}
@@ -57,16 +59,16 @@ def staged(run: StoreRun, layers: Layers, names: Sequence[str] | None = None) ->
 
     # the largest tables first
     order = sorted(names or layers.raw, key=lambda n: n not in BY_ORDER)
-    tables = _together({n: write(n, layers.staging[n]) for n in order})
+    tables = write_together({n: write(n, layers.staging[n]) for n in order})
     return type(layers)(layers.raw, layers.band_cuts, staging={
         n: tables[n] if n in tables else layers.staging[n] for n in layers.raw})
 
 
 def _warehouse(run: StoreRun, built: Layers) -> Layers:
     """Writes dimensions and fact; ``Layers`` over staging and these."""
-    _together({name: lambda name=name: getattr(built, name) for name in DIMENSIONS})  # their keys
+    write_together({name: lambda name=name: getattr(built, name) for name in DIMENSIONS})  # their keys
     models = built.warehouse()
-    kept = _together({
+    kept = write_together({
         name: lambda name=name: run.write(name, "warehouse", models[name], "dimension",
                                           WAREHOUSE_SCHEMAS[name], WAREHOUSE_KEYS[name])
         for name in DIMENSIONS})
@@ -90,10 +92,10 @@ def build_run(run: StoreRun, layers: Layers, enforce_constraints: bool = True) -
         run.check()
     models = dict(over.models)
     frames = {n: getattr(over, n) for n in ("int_orders_items_joined", "int_products_enriched")}
-    models |= _together({n: lambda n=n, df=df: run.write(n, INTERMEDIATE, df, "model")
+    models |= write_together({n: lambda n=n, df=df: run.write(n, INTERMEDIATE, df, "model")
                          for n, df in frames.items()})
     over = type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
-    models |= _together({n: lambda n=n, df=df: run.write(n, "marts", df, "mart")
+    models |= write_together({n: lambda n=n, df=df: run.write(n, "marts", df, "mart")
                          for n, df in over.marts().items()})
     return type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
 

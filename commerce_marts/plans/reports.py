@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_marts.functions import money_mean, money_sum, pct, round_half_up
-from commerce_marts.operators.aggregates import extremes, share_of_total, trend_line, weighted_mean
+from commerce_marts.operators.aggregates import (correlation, extremes, share_of_total, trend_line,
+                                                 weighted_mean)
 
 
 def _fact_state(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
@@ -210,7 +211,7 @@ def delivery_insights(by_weekday: DataFrame, fact: DataFrame) -> DataFrame:
     x, y = F.col("days_to_deliver").cast("double"), F.col("review_score").cast("double")
     together = rated.select(F.struct(
         F.count(F.lit(1)).alias("rated_items"),
-        round_half_up(F.corr(x, y), 6).alias("days_review_corr"))).scalar()
+        round_half_up(correlation(x, y), 6).alias("days_review_corr"))).scalar()
     return weekday_extremes(by_weekday).withColumn("t", together).select("*", "t.*").drop("t")
 
 

@@ -91,6 +91,14 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         return self._frame(self.published()[name])
 
+    def tables(self) -> dict[str, DataFrame]:
+        """Every published table, all as of one reading of the pointer."""
+        return {name: self._frame(entry) for name, entry in self.published().items()}
+
+    def drop(self) -> None:
+        """Removes the store with all its tables."""
+        self.files.remove(self.root)
+
     def _frame(self, entry: Mapping) -> DataFrame:
         schema = T.StructType.fromJson(entry["schema"])
         base = f"{self.root}/{entry['layer']}/{entry['name']}"
