@@ -1,18 +1,22 @@
-"""Katz backoff bigram model with Good-Turing discounts and exactly normalised weights.
-
-Unigrams: P1(w) = (c + 0.1) / (N + 0.1 (V + 1)), which sums to one over the V training
-tokens and one unknown.  A seen pair has d(c) c(h, w) / c(h), with the Good-Turing
-discount d for counts up to ``MAX_R`` (where counts of counts give none between 0 and
-1: (r - 0.5) / r); others have alpha(h) P1(w), alpha(h) = (1 - mass of the seen) /
-(1 - their P1), so every history sums to one.  A history without discounted pairs
-keeps one of c(h) + 1 parts for unseen words.  An unseen history backs off with 1.
-
-Documents are encoded in chunks of bounded text, a table bucketed by chunk.  A chunk
-sends its distinct words, and its distinct pairs, as sorted arrays to buckets of
+"""Katz backoff n-gram model with Good-Turing discounts and exactly normalised weights.
+
+Order 1: P1(w) = (c + 0.1) / (N + 0.1 (V + 1)), which sums to one over the V training
+tokens and one unknown.  Order k, for a history h of k - 1 tokens and h' without its
+first: a seen n-gram has d_k(c) c(h, w) / c(h), with the Good-Turing discount d_k of its
+order for counts up to ``MAX_R`` (where counts of counts give none between 0 and 1:
+(r - 0.5) / r); others have alpha(h) P_{k-1}(w | h'), alpha(h) = (1 - mass of the seen) /
+(1 - their P_{k-1}), so every history of every order sums to one.  A history without
+discounted n-grams keeps one of c(h) + 1 parts for unseen words.  An unseen history backs
+off with 1.  The first tokens of a document have the start as often as needed before them.
+
+Documents are encoded in chunks of bounded text, a table bucketed by chunk.  Order
+by order, a chunk sends its distinct n-grams as sorted arrays to buckets of
 their hash, where they are counted; the answer is the counts in the same order, in
-tables bucketed by chunk as well.  The sums of a history go the same way.  Hot words
-and pairs thus come once per chunk.  Nothing corpus-wide reaches the driver but N, V
-and the first counts of counts.
+tables bucketed by chunk as well.  The sums of a history go the same way.  Hot
+n-grams thus come once per chunk.  A chunk then holds the counts and weights of all
+its n-grams and of their suffixes, so each order is evaluated from the one below.
+Nothing corpus-wide reaches the driver but N, V and the first counts of counts of
+each order.  Each order adds about the requests and tables of the pairs.
 
 Nulls: a null text is an empty text, one end token; a null doc_id is learned from.
 Repeated rows count again.  Texts are read whole.  An empty table gives no rows.
@@ -21,6 +25,7 @@ Repeated rows count again.  Texts are read whole.  An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ from pyspark.sql import functions as F
 from commerce_marts.llm.common import (BASE, mixed, partitions, text_slices, word_hashes, words,
                                        written)
 
+#: Tokens of the longest n-grams.
+ORDER = 2
 MAX_R = 5
 ADD = 0.1
 END, START = np.uint64(1), np.uint64(2)
@@ -77,6 +84,19 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield {n: batch.column(n)[k] for n in batch.schema.names}
 
 
+class _Grams(NamedTuple):
+    """Distinct n-grams of a chunk in order of their hash: hash, training count, places of their
+    history and their suffix among the n-grams one shorter, each token's n-gram, and the place
+    of the starts."""
+
+    key: np.ndarray
+    n: np.ndarray
+    history: np.ndarray | None
+    suffix: np.ndarray | None
+    at: np.ndarray
+    pad: int
+
+
 class _Chunk:
     def __init__(self, row: dict):
         self.vocab, self.ids, self.lengths = (
@@ -84,31 +104,40 @@ class _Chunk:
             for n, t in (("vocab", np.uint64), ("ids", np.uint32), ("lengths", np.int64)))
         self.ids = self.ids.astype(np.int64)
         self.train = np.repeat(row["train"].values.to_numpy(zero_copy_only=False), self.lengths)
-
-    def histories(self) -> np.ndarray:
-        """Place of the token before each, or of the start."""
-        before = np.concatenate([[0], self.ids[:-1]])
-        before[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.vocab, START)
-        return before
-
-    def words(self):
-        """Distinct words in order of their hash, and their training count."""
-        return self.vocab, np.bincount(self.ids, self.train, minlength=len(self.vocab)).astype(np.int64)
-
-    def pairs(self):
-        """Distinct pairs in order of their hash: hash, training count, history, word, and
-        each token's pair."""
-        before = self.histories()
+        self._kept: dict[tuple[int, bool], _Grams] = {}
+
+    def grams(self, k: int, pad: bool = True) -> _Grams:
+        """The distinct n-grams of k tokens; with ``pad`` the k starts as well, the history of
+        a document's first token."""
+        if (k, pad) not in self._kept:
+            self._kept[k, pad] = self._grams(k, pad)
+        return self._kept[k, pad]
+
+    def _grams(self, k: int, pad: bool) -> _Grams:
+        start = int(np.searchsorted(self.vocab, START))
+        if k == 1:
+            n = np.bincount(self.ids, self.train, minlength=len(self.vocab)).astype(np.int64)
+            return _Grams(self.vocab, n, None, None, self.ids, start)
+        prev = self.grams(k - 1)
+        before = np.concatenate([[0], prev.at[:-1]])
+        before[np.cumsum(self.lengths) - self.lengths] = prev.pad
         code = before * len(self.vocab) + self.ids
-        code, at = np.unique(code, return_inverse=True)
+        suffix = prev.at
+        train = self.train
+        if pad:
+            code = np.append(code, prev.pad * len(self.vocab) + start)
+            suffix, train = np.append(suffix, prev.pad), np.append(train, False)
+        code, first, at = np.unique(code, return_index=True, return_inverse=True)
         h, w = np.divmod(code, len(self.vocab))
         with np.errstate(over="ignore"):
-            key = mixed(mixed(self.vocab[h] * BASE) + self.vocab[w])
-        n = np.bincount(at, self.train, minlength=len(code)).astype(np.int64)
+            key = mixed(mixed(prev.key[h] * BASE) + self.vocab[w])
+        n = np.bincount(at, train, minlength=len(code)).astype(np.int64)
         order = np.argsort(key, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        return key[order], n[order], h[order], w[order], place[at]
+        at = place[at]
+        return _Grams(key[order], n[order], h[order], suffix[first][order],
+                      at[:len(self.ids)], int(at[-1]) if pad else -1)
 
 
 def _word_answer(at: np.ndarray, first: np.ndarray, total: np.ndarray):
@@ -116,11 +145,25 @@ def _word_answer(at: np.ndarray, first: np.ndarray, total: np.ndarray):
     return at.astype(np.uint32), [total.sum(), (total > 0).sum()]
 
 
-def _pair_answer(at: np.ndarray, first: np.ndarray, total: np.ndarray):
-    """Whether a pair is met for the first time; counts of counts of the bucket."""
+def _counts_of_counts(total: np.ndarray) -> np.ndarray:
+    return np.bincount(total[(total > 0) & (total <= MAX_R + 1)], minlength=MAX_R + 2)
+
+
+def _owner(at: np.ndarray, first: np.ndarray) -> np.ndarray:
     owner = np.zeros(len(at), bool)
     owner[first] = True
-    return owner, np.bincount(total[(total > 0) & (total <= MAX_R + 1)], minlength=MAX_R + 2)
+    return owner
+
+
+def _top_answer(at: np.ndarray, first: np.ndarray, total: np.ndarray):
+    """Whether an n-gram is met for the first time; counts of counts of the bucket."""
+    return _owner(at, first), _counts_of_counts(total)
+
+
+def _inner_answer(at: np.ndarray, first: np.ndarray, total: np.ndarray):
+    """Twice the n-gram's place in its bucket, and one more where it is met for the first time."""
+    return ((at.astype(np.uint32) << np.uint32(1)) | _owner(at, first).astype(np.uint32),
+            _counts_of_counts(total))
 
 
 def tally(encoded: DataFrame, ask: Callable, answer: Callable, buckets: int, name: str) -> DataFrame:
@@ -205,65 +248,95 @@ def backed_off(group: pa.Table) -> pa.Table:
                      "alpha": pa.array([alpha[a].tobytes() for a in at], pa.binary())})
 
 
-def score(docs: DataFrame) -> DataFrame:
+def _probabilities(chunk: _Chunk, row: dict, order: int, top: int, denominator: float,
+                   d: dict[int, np.ndarray]) -> np.ndarray:
+    """P_order of each n-gram of the chunk, from the orders below; ``top`` is the model's order."""
+    p = (_array(row["found1"], "counts", np.int64) + ADD) / denominator
+    for k in range(2, order + 1):
+        grams = chunk.grams(k, k < top)
+        c = _array(row[f"found{k}"], "counts", np.int64)
+        unit, alpha = (_array(row[f"histories{k}"], x, float) for x in ("unit", "alpha"))
+        h = grams.history
+        p = np.where(c > 0, unit[h] * _discounted(c, d[k]), alpha[h] * p[grams.suffix])
+    return p
+
+
+def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+    if order < 1:
+        raise ValueError("the order of a model is at least 1")
     encoded = chunks(docs)
     tokens = int(encoded.agg(F.sum("n").alias("n")).first()["n"] or 0)
     buckets = max(1, partitions(docs.sparkSession), -(-tokens // BUCKET_TOKENS))
-    vocabulary = tally(encoded, _Chunk.words, _word_answer, buckets, "words")
-    pairs = tally(encoded, _Chunk.pairs, _pair_answer, buckets, "pairs")
-    n, v = _sums(vocabulary, 2)
-    denominator = n + ADD * (v + 1)
-    d = discounts(_sums(pairs, MAX_R + 2))
-    known = encoded.join(vocabulary.withColumnRenamed("found", "words"), "chunk").join(
-        pairs.withColumnRenamed("found", "pairs"), "chunk")
 
-    def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                chunk, c = _Chunk(row), _array(row["words"], "counts", np.int64)
-                pair, owner = _array(row["pairs"], "counts", np.int64), _array(row["pairs"], "marks", bool)
-                _, _, h, w, _ = chunk.pairs()
-                some = owner & (pair > 0)
-                h, w, pair = h[some], w[some], pair[some]
-                sums = [np.bincount(h, x, minlength=len(chunk.vocab)) for x in (
-                    pair, _discounted(pair, d), (c[w] + ADD) / denominator)]
-                places = [x.as_buffer() for x in row["words"].values.field("marks")]
-                cut = np.cumsum([0, *(len(x) // 4 for x in places)])
-                full = [np.flatnonzero(sums[0][a:b]) for a, b in zip(cut, cut[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [row["words"].values.field("bucket"), pa.array([row["chunk"].as_py()] * len(full)),
-                     pa.array(map(bytes, places), pa.binary()),
-                     pa.array([x.astype(np.uint32).tobytes() for x in full], pa.binary()),
-                     *(pa.array([s[a + x].tobytes() for a, x in zip(cut, full)], pa.binary())
-                       for s in sums)], names=["bucket", "chunk", "places", "some", "c_h", "mass", "p"])
+    def ask(k: int) -> Callable:
+        return lambda chunk: chunk.grams(k, k < order)[:2]
 
-    histories = written(known.mapInArrow(
-        masses, "bucket int, chunk long, places binary, some binary, c_h binary, mass binary, p binary")
-        .groupBy("bucket").applyInArrow(backed_off, "chunk long, bucket int, unit binary, alpha binary")
-        .groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "unit", "alpha")))
-                              .alias("histories")), "histories", by="chunk")
+    vocabulary = tally(encoded, ask(1), _word_answer, buckets, "words")
+    n, v = _sums(vocabulary, 2)
+    denominator = n + ADD * (v + 1)
+    known = encoded.join(vocabulary.withColumnRenamed("found", "found1"), "chunk")
+    d: dict[int, np.ndarray] = {}
+    for k in range(2, order + 1):
+        found = tally(encoded, ask(k), _top_answer if k == order else _inner_answer, buckets,
+                      f"grams{k}")
+        d[k] = discounts(_sums(found, MAX_R + 2))
+        known = known.join(found.withColumnRenamed("found", f"found{k}"), "chunk")
+        known = known.join(_histories(known, k, order, denominator, dict(d)), "chunk")
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                chunk, c = _Chunk(row), _array(row["words"], "counts", np.int64)
-                pair = _array(row["pairs"], "counts", np.int64)
-                unit, alpha = (_array(row["histories"], x, float) for x in ("unit", "alpha"))
-                _, _, h, w, place = chunk.pairs()
+                chunk, c = _Chunk(row), _array(row["found1"], "counts", np.int64)
                 base = np.log10((c + ADD) / denominator)
-                log = np.log10(alpha[h]) + base[w]
-                seen = pair > 0
-                log[seen] = np.log10(unit[h[seen]] * _discounted(pair[seen], d))
+                log = np.log10(_probabilities(chunk, row, order, order, denominator, d))
+                at = chunk.grams(order, order == 1).at
                 starts = np.cumsum(chunk.lengths) - chunk.lengths
                 yield pa.RecordBatch.from_arrays(
                     [row["doc_id"].values, pa.array(chunk.lengths),
                      pa.array(np.add.reduceat((c[chunk.ids] > 0).astype(np.int64), starts)),
                      pa.array(np.add.reduceat(base[chunk.ids], starts)),
-                     pa.array(np.add.reduceat(log[place], starts))],
+                     pa.array(np.add.reduceat(log[at], starts))],
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return known.join(histories, "chunk").mapInArrow(
+    return known.mapInArrow(
         evaluate, "doc_id long, n_tokens long, n_known long, base_score double, score double").select(
         "doc_id", held_out().alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def _histories(known: DataFrame, k: int, top: int, denominator: float,
+               d: dict[int, np.ndarray]) -> DataFrame:
+    """chunk, histories<k>: unit and alpha of what precedes the last token of the n-grams of order
+    k, in order of the hash of the n-grams one shorter."""
+
+    def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                chunk = _Chunk(row)
+                below = _probabilities(chunk, row, k - 1, top, denominator, d)
+                grams, marks = chunk.grams(k, k < top), row[f"found{k}"]
+                counts = _array(marks, "counts", np.int64)
+                owner = (_array(marks, "marks", np.uint32) & 1 if k < top
+                         else _array(marks, "marks", bool)).astype(bool)
+                some = owner & (counts > 0)
+                h, c = grams.history[some], counts[some]
+                sums = [np.bincount(h, x, minlength=len(below)) for x in (
+                    c, _discounted(c, d[k]), below[grams.suffix[some]])]
+                asked = row[f"found{k - 1}"].values
+                places = [np.frombuffer(x.as_buffer(), np.uint32) >> np.uint32(k > 2)
+                          for x in asked.field("marks")]
+                cut = np.cumsum([0, *map(len, places)])
+                full = [np.flatnonzero(sums[0][a:b]) for a, b in zip(cut, cut[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [asked.field("bucket"), pa.array([row["chunk"].as_py()] * len(full)),
+                     pa.array([x.tobytes() for x in places], pa.binary()),
+                     pa.array([x.astype(np.uint32).tobytes() for x in full], pa.binary()),
+                     *(pa.array([s[a + x].tobytes() for a, x in zip(cut, full)], pa.binary())
+                       for s in sums)], names=["bucket", "chunk", "places", "some", "c_h", "mass", "p"])
+
+    return written(known.mapInArrow(
+        masses, "bucket int, chunk long, places binary, some binary, c_h binary, mass binary, p binary")
+        .groupBy("bucket").applyInArrow(backed_off, "chunk long, bucket int, unit binary, alpha binary")
+        .groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "unit", "alpha")))
+                              .alias(f"histories{k}")), f"histories{k}", by="chunk")
