@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commerce_marts.llm.common import (BASE, mixed, partitions, text_slices, word_hashes, words,
@@ -226,9 +226,22 @@ def _discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return c * np.where(c <= MAX_R, d[np.minimum(c, MAX_R)], 1.0)
 
 
-def _array(found, field: str, kind) -> np.ndarray:
+def _array(parts, kind) -> np.ndarray:
     """What the buckets answered, in order of the hash."""
-    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in found.values.field(field)])
+    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in parts.values])
+
+
+#: What a chunk is made of again.
+_TEXT = ("chunk", "train", "vocab", "ids", "lengths")
+
+
+def _weighed(known: DataFrame, below: int, *more: Column) -> DataFrame:
+    """The chunks with counts, units and alphas of the orders up to ``below``, and ``more``; the
+    scan reads nothing else."""
+    return known.select(
+        *_TEXT, *(F.col(f"found{k}.counts").alias(f"counts{k}") for k in range(1, below + 1)),
+        *(F.col(f"histories{k}.{x}").alias(f"{x}{k}") for k in range(2, below + 1)
+          for x in ("unit", "alpha")), *more)
 
 
 def backed_off(group: pa.Table) -> pa.Table:
@@ -251,13 +264,13 @@ def backed_off(group: pa.Table) -> pa.Table:
 def _probabilities(chunk: _Chunk, row: dict, order: int, top: int, denominator: float,
                    d: dict[int, np.ndarray]) -> np.ndarray:
     """P_order of each n-gram of the chunk, from the orders below; ``top`` is the model's order."""
-    p = (_array(row["found1"], "counts", np.int64) + ADD) / denominator
+    p = (_array(row["counts1"], np.int64) + ADD) / denominator
     for k in range(2, order + 1):
         grams = chunk.grams(k, k < top)
-        c = _array(row[f"found{k}"], "counts", np.int64)
-        unit, alpha = (_array(row[f"histories{k}"], x, float) for x in ("unit", "alpha"))
-        h = grams.history
-        p = np.where(c > 0, unit[h] * _discounted(c, d[k]), alpha[h] * p[grams.suffix])
+        c = _array(row[f"counts{k}"], np.int64)
+        p = _array(row[f"alpha{k}"], float)[grams.history] * p[grams.suffix]
+        seen = c > 0
+        p[seen] = _array(row[f"unit{k}"], float)[grams.history[seen]] * _discounted(c[seen], d[k])
     return p
 
 
@@ -284,22 +297,25 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
         known = known.join(found.withColumnRenamed("found", f"found{k}"), "chunk")
         known = known.join(_histories(known, k, order, denominator, dict(d)), "chunk")
 
+    def evaluated(row: dict) -> pa.RecordBatch:
+        chunk, c = _Chunk(row), _array(row["counts1"], np.int64)
+        base = np.log10((c + ADD) / denominator)
+        log = np.log10(_probabilities(chunk, row, order, order, denominator, d))
+        at = chunk.grams(order, order == 1).at
+        starts = np.cumsum(chunk.lengths) - chunk.lengths
+        return pa.RecordBatch.from_arrays(
+            [row["doc_id"].values, pa.array(chunk.lengths),
+             pa.array(np.add.reduceat((c[chunk.ids] > 0).astype(np.int64), starts)),
+             pa.array(np.add.reduceat(base[chunk.ids], starts)),
+             pa.array(np.add.reduceat(log[at], starts))],
+            names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                chunk, c = _Chunk(row), _array(row["found1"], "counts", np.int64)
-                base = np.log10((c + ADD) / denominator)
-                log = np.log10(_probabilities(chunk, row, order, order, denominator, d))
-                at = chunk.grams(order, order == 1).at
-                starts = np.cumsum(chunk.lengths) - chunk.lengths
-                yield pa.RecordBatch.from_arrays(
-                    [row["doc_id"].values, pa.array(chunk.lengths),
-                     pa.array(np.add.reduceat((c[chunk.ids] > 0).astype(np.int64), starts)),
-                     pa.array(np.add.reduceat(base[chunk.ids], starts)),
-                     pa.array(np.add.reduceat(log[at], starts))],
-                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+                yield evaluated(row)  # a chunk's arrays are gone before the next one's
 
-    return known.mapInArrow(
+    return _weighed(known, order, F.col("doc_id")).mapInArrow(
         evaluate, "doc_id long, n_tokens long, n_known long, base_score double, score double").select(
         "doc_id", held_out().alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
@@ -310,32 +326,37 @@ def _histories(known: DataFrame, k: int, top: int, denominator: float,
     """chunk, histories<k>: unit and alpha of what precedes the last token of the n-grams of order
     k, in order of the hash of the n-grams one shorter."""
 
+    def summed(row: dict) -> pa.RecordBatch:
+        chunk = _Chunk(row)
+        below = _probabilities(chunk, row, k - 1, top, denominator, d)
+        grams, counts = chunk.grams(k, k < top), _array(row["asked"], np.int64)
+        owner = (_array(row["marks"], np.uint32) & 1 if k < top
+                 else _array(row["marks"], bool)).astype(bool)
+        some = owner & (counts > 0)
+        h, c = grams.history[some], counts[some]
+        sums = [np.bincount(h, x, minlength=len(below)) for x in (
+            c, _discounted(c, d[k]), below[grams.suffix[some]])]
+        places = [np.frombuffer(x.as_buffer(), np.uint32) >> np.uint32(k > 2)
+                  for x in row["places"].values]
+        cut = np.cumsum([0, *map(len, places)])
+        full = [np.flatnonzero(sums[0][a:b]) for a, b in zip(cut, cut[1:])]
+        return pa.RecordBatch.from_arrays(
+            [row["buckets"].values, pa.array([row["chunk"].as_py()] * len(full)),
+             pa.array([x.tobytes() for x in places], pa.binary()),
+             pa.array([x.astype(np.uint32).tobytes() for x in full], pa.binary()),
+             *(pa.array([s[a + x].tobytes() for a, x in zip(cut, full)], pa.binary())
+               for s in sums)], names=["bucket", "chunk", "places", "some", "c_h", "mass", "p"])
+
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                chunk = _Chunk(row)
-                below = _probabilities(chunk, row, k - 1, top, denominator, d)
-                grams, marks = chunk.grams(k, k < top), row[f"found{k}"]
-                counts = _array(marks, "counts", np.int64)
-                owner = (_array(marks, "marks", np.uint32) & 1 if k < top
-                         else _array(marks, "marks", bool)).astype(bool)
-                some = owner & (counts > 0)
-                h, c = grams.history[some], counts[some]
-                sums = [np.bincount(h, x, minlength=len(below)) for x in (
-                    c, _discounted(c, d[k]), below[grams.suffix[some]])]
-                asked = row[f"found{k - 1}"].values
-                places = [np.frombuffer(x.as_buffer(), np.uint32) >> np.uint32(k > 2)
-                          for x in asked.field("marks")]
-                cut = np.cumsum([0, *map(len, places)])
-                full = [np.flatnonzero(sums[0][a:b]) for a, b in zip(cut, cut[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [asked.field("bucket"), pa.array([row["chunk"].as_py()] * len(full)),
-                     pa.array([x.tobytes() for x in places], pa.binary()),
-                     pa.array([x.astype(np.uint32).tobytes() for x in full], pa.binary()),
-                     *(pa.array([s[a + x].tobytes() for a, x in zip(cut, full)], pa.binary())
-                       for s in sums)], names=["bucket", "chunk", "places", "some", "c_h", "mass", "p"])
+                yield summed(row)
 
-    return written(known.mapInArrow(
+    asked = _weighed(known, k - 1, F.col(f"found{k}.counts").alias("asked"),
+                     F.col(f"found{k}.marks").alias("marks"),
+                     F.col(f"found{k - 1}.bucket").alias("buckets"),
+                     F.col(f"found{k - 1}.marks").alias("places"))
+    return written(asked.mapInArrow(
         masses, "bucket int, chunk long, places binary, some binary, c_h binary, mass binary, p binary")
         .groupBy("bucket").applyInArrow(backed_off, "chunk long, bucket int, unit binary, alpha binary")
         .groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "unit", "alpha")))
