@@ -81,8 +81,12 @@ def op11_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["kind"] < 3)
-    of = {k: F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long") for k in range(3)}
-    return found.select("doc_id", of[0].alias("n_assign"), of[1].alias("n_access"), of[2].alias("n_hex"),
+
+    def count(kind: int) -> F.Column:
+        # a second parameter of the lambda, even a defaulted one, would be the element's index
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
                         secret_scan.joined("found").alias("spans"))
 

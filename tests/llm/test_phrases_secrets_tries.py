@@ -158,6 +158,22 @@ def test_secret_scan(shipped):
     assert not any(spans for i, spans in added.items() if i not in planted and i != 95)
 
 
+def test_secret_query_counts_each_kind(shipped, tmp_path):
+    from commerce_marts.llm.queries import op12_secret_scan
+
+    rows, _ = secret_rows()
+    rows += [(201, "f" * 24 + " token=abcdef " + "0" * 30 + " api_key: abcdef secret=ghijkl", "", 0, None),
+             (202, "AKIA" + "Z" * 20, "", 0, None), (203, "token = '" + "e" * 32 + "'", "", 0, None)]
+    shipped.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = collections.Counter()
+    for doc_id, text, *_ in rows:
+        spans = plain_spans(text or "")
+        joined = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        wanted[doc_id, *(sum(k == kind for _, k, _ in spans) for kind in range(3)),
+               hashlib.sha256(joined.encode()).hexdigest()] += 1
+    assert collections.Counter(tuple(r[:5]) for r in op12_secret_scan(shipped, str(tmp_path)).collect()) == wanted
+
+
 def test_secret_models_sum_to_one():
     import numpy as np
 
