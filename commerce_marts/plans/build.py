@@ -2,9 +2,10 @@
 
 ``build_run`` writes staging, the keys, the fact, the item model and the marts, each once,
 and every later stage reads written files.  The staging tables that are joined by order
-(items, orders, payments, reviews) and the orders' customer keys are laid out in buckets of
-order_id, so the item joins of the fact and of the item model need no exchange.  The fact
-is partitioned by order month.  NOT NULL and primary keys of the warehouse are checked
+(items, orders, payments, reviews), the orders' customer keys and the item model are laid out
+in buckets of order_id, so the item joins of the fact and of the item model and the marts' sums
+per order need no exchange.  Tables whose primary key begins with order_id are laid out before
+they are deduplicated, which needs no second exchange then.  The fact is partitioned by order month.  NOT NULL and primary keys of the warehouse are checked
 before the marts are built, and nothing is visible to readers until all is
 (``sources.store``).  A lost executor re-reads written files.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from commerce_marts.plans import warehouse as W
 from commerce_marts.plans.layers import Layers
+from commerce_marts.plans.staging import stage_source
 from commerce_marts.sources.schemas import SOURCES, WAREHOUSE_KEYS, WAREHOUSE_SCHEMAS
 from commerce_marts.sources.store import INTERMEDIATE, ConstraintViolation, StoreRun, TableStore
 
@@ -51,15 +53,27 @@ def _buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _staged_by_order(name: str, raw: DataFrame, n: int) -> DataFrame:
+    """The staging table of a source whose key begins with order_id, in ``n`` partitions of it:
+    its rows are sent there once and deduplicated there.  Rows without an order_id may be many;
+    they are deduplicated first."""
+    known = stage_source(name, raw.where("order_id is not null").repartition(n, "order_id"))
+    return known.unionByName(
+        stage_source(name, raw.where("order_id is null")).repartition(n, "order_id"))
+
+
 def staged(run: StoreRun, layers: Layers, names: Sequence[str] | None = None) -> Layers:
     """Writes the staging tables; ``Layers`` over them.  ``names`` limits the tables."""
-    def write(name: str, df: DataFrame) -> Callable[[], DataFrame]:
-        buckets = (_buckets(run.spark), "order_id") if name in BY_ORDER else None
+    def write(name: str) -> Callable[[], DataFrame]:
+        n = _buckets(run.spark)
+        buckets = (n, "order_id") if name in BY_ORDER else None
+        first = layers.stages_raw and len(SOURCES[name].pk) > 1 and SOURCES[name].pk[0] == "order_id"
+        df = _staged_by_order(name, layers.raw[name], n) if first else layers.staging[name]
         return lambda: run.write(SOURCES[name].table_name, "staging", df, buckets=buckets)
 
     # the largest tables first
     order = sorted(names or layers.raw, key=lambda n: n not in BY_ORDER)
-    tables = write_together({n: write(n, layers.staging[n]) for n in order})
+    tables = write_together({n: write(n) for n in order})
     return type(layers)(layers.raw, layers.band_cuts, staging={
         n: tables[n] if n in tables else layers.staging[n] for n in layers.raw})
 
@@ -84,19 +98,29 @@ def _warehouse(run: StoreRun, built: Layers) -> Layers:
     return type(built)(built.raw, built.band_cuts, staging=st, models=kept)
 
 
+#: The staging tables behind the marts.
+FOR_MARTS = (*BY_ORDER, "customers", "products", "category_translation")
+
+
+def modelled(run: StoreRun, over: Layers) -> Layers:
+    """Writes the item model, by order, and the product model; ``Layers`` over these too."""
+    frames = {n: getattr(over, n) for n in ("int_orders_items_joined", "int_products_enriched")}
+    by_order = {"int_orders_items_joined": (_buckets(run.spark), "order_id")}
+    models = dict(over.models) | write_together({
+        n: lambda n=n, df=df: run.write(n, INTERMEDIATE, df, "model", buckets=by_order.get(n))
+        for n, df in frames.items()})
+    return type(over)(over.raw, over.band_cuts, staging=over.staging, models=models)
+
+
 def build_run(run: StoreRun, layers: Layers, enforce_constraints: bool = True) -> Layers:
     """Writes all layers into ``run`` (not published yet); ``Layers`` over what was written,
     whose models start no job while they are composed."""
     over = _warehouse(run, staged(run, layers))
     if enforce_constraints:
         run.check()
-    models = dict(over.models)
-    frames = {n: getattr(over, n) for n in ("int_orders_items_joined", "int_products_enriched")}
-    models |= write_together({n: lambda n=n, df=df: run.write(n, INTERMEDIATE, df, "model")
-                         for n, df in frames.items()})
-    over = type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
-    models |= write_together({n: lambda n=n, df=df: run.write(n, "marts", df, "mart")
-                         for n, df in over.marts().items()})
+    over = modelled(run, over)
+    models = dict(over.models) | write_together({
+        n: lambda n=n, df=df: run.write(n, "marts", df, "mart") for n, df in over.marts().items()})
     return type(layers)(layers.raw, layers.band_cuts, staging=over.staging, models=models)
 
 

@@ -204,12 +204,14 @@ class StoreRun:
             n, by = buckets
             table = f"cm_{self.id[4:]}_{name}"
             self._bucketed[name] = table
-            out.repartition(n, by).write.bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table)
+            # Spark leaves the exchange out where ``df`` already comes in these partitions
+            out.repartition(n, by).write.option("compression", "zstd").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table)
         elif partition:
             # one or a few files a value: AQE splits a value that holds much and joins small ones
-            out.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(path)
+            (out.hint("rebalance", F.col(partition)).write.option("compression", "zstd")
+             .partitionBy(partition).parquet(path))
         else:
-            out.write.parquet(path)
+            out.write.option("compression", "zstd").parquet(path)
         got = seen.get
         entry = {"name": name, "layer": layer, "kind": kind, "run": self.id, "rows": got["n_rows"],
                  "checksum": str(got["checksum"]), "partition": partition, "parts": None,
