@@ -225,21 +225,50 @@ def _document_words(docs: DataFrame) -> DataFrame:
         split, "doc_id long, toxic int, word string").where("length(word) > 1").distinct()
 
 
+class Columns:
+    """The table of ``Kernel`` by its entries that are not zero: rows are subsequences, columns words.
+
+    As an array it would take as many numbers as subsequences times words."""
+
+    def __init__(self, chosen: list[str]):
+        col, key, weight = subsequences(chosen)
+        _, key = np.unique(key, return_inverse=True)
+        order = np.lexsort((col, key))  # keeps the order of a word's equal subsequences
+        col, key, weight = col[order], key[order], weight[order]
+        cell = np.cumsum(np.diff(key, prepend=-1).astype(bool) | np.diff(col, prepend=-1).astype(bool)) - 1
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.row, self.col, self.value = key[first], col[first], np.bincount(cell, weight)
+        self.starts = np.searchsorted(self.row, np.arange((self.row[-1] if len(self.row) else -1) + 2))
+        self.by_word = np.argsort(self.col, kind="stable")
+        self.of_word = np.searchsorted(self.col[self.by_word], np.arange(len(chosen) + 1))
+
+    def squares(self, n: int) -> np.ndarray:
+        """The sum of squares of each column."""
+        return np.bincount(self.col, self.value ** 2, minlength=n)
+
+    def products(self, i: int, n: int) -> np.ndarray:
+        """The products of column ``i`` with all ``n``, from its own rows alone."""
+        own = self.by_word[self.of_word[i]:self.of_word[i + 1]]
+        begin, size = self.starts[self.row[own]], np.diff(self.starts)[self.row[own]]
+        at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        rows = np.zeros((len(own), n))
+        rows[np.repeat(np.arange(len(own)), size), self.col[at]] = self.value[at]
+        return self.value[own] @ rows
+
+
 def landmarks(chosen: list[str], most: int) -> list[str]:
     """Pivoted Cholesky: each next landmark is the word that those before explain least."""
     left = np.ones(len(chosen))
     factor = np.zeros((len(chosen), 0))
     out: list[str] = []
-    kernel_of = Kernel(chosen) if len(chosen) else None
+    columns = Columns(chosen) if len(chosen) else None
     for _ in range(min(most, len(chosen))):
         i = int(np.argmax(left))
         if left[i] < 1e-3:
             break
-        row = kernel_of.table[:, i]
-        hit = np.flatnonzero(row)
-        column = row[hit] @ kernel_of.table[hit]
+        column = columns.products(i, len(chosen))
         if not out:
-            left = (kernel_of.table ** 2).sum(0)
+            left = columns.squares(len(chosen))
         new = (column - factor @ factor[i]) / np.sqrt(max(left[i], 1e-9))
         factor = np.column_stack([factor, new])
         left = left - new ** 2

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -44,3 +46,22 @@ def test_insults_late_in_unspaced_runs_are_learned(spark):
     labels = spark.createDataFrame(marks, "doc_id long, toxic int")
     got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, labels).collect() if r["held_out"]}
     assert sum(got[i] == y for i, y in marks if i in got) / len(got) > 0.9
+
+
+def test_landmarks_are_those_of_the_whole_table_in_less_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 25))) for _ in range(700)] + ["aaaaaaa", "abab" * 9]
+    tracemalloc.start()
+    got = toxicity.landmarks(words, 60)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    table = toxicity.Kernel(words).table
+    assert peak < table.nbytes / 4
+    left, factor, want = (table ** 2).sum(0), np.zeros((len(words), 0)), []
+    for k in range(60):
+        i = int(np.argmax(left)) if k else 0
+        new = (table[:, i] @ table - factor @ factor[i]) / np.sqrt(left[i])
+        factor, left = np.column_stack([factor, new]), left - new ** 2
+        left[i] = -1
+        want.append(words[i])
+    assert got == want
