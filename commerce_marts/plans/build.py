@@ -49,7 +49,7 @@ def write_together(writes: Mapping[str, Callable[[], DataFrame]]) -> dict[str, D
         return {name: job.result() for name, job in started.items()}
 
 
-def _buckets(spark: SparkSession) -> int:
+def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -65,11 +65,11 @@ def _staged_by_order(name: str, raw: DataFrame, n: int) -> DataFrame:
 def staged(run: StoreRun, layers: Layers, names: Sequence[str] | None = None) -> Layers:
     """Writes the staging tables; ``Layers`` over them.  ``names`` limits the tables."""
     def write(name: str) -> Callable[[], DataFrame]:
-        n = _buckets(run.spark)
-        buckets = (n, "order_id") if name in BY_ORDER else None
+        n = buckets(run.spark)
+        layout = (n, "order_id") if name in BY_ORDER else None
         first = layers.stages_raw and len(SOURCES[name].pk) > 1 and SOURCES[name].pk[0] == "order_id"
         df = _staged_by_order(name, layers.raw[name], n) if first else layers.staging[name]
-        return lambda: run.write(SOURCES[name].table_name, "staging", df, buckets=buckets)
+        return lambda: run.write(SOURCES[name].table_name, "staging", df, buckets=layout)
 
     # the largest tables first
     order = sorted(names or layers.raw, key=lambda n: n not in BY_ORDER)
@@ -79,18 +79,21 @@ def staged(run: StoreRun, layers: Layers, names: Sequence[str] | None = None) ->
 
 
 def _warehouse(run: StoreRun, built: Layers) -> Layers:
-    """Writes dimensions and fact; ``Layers`` over staging and these."""
+    """Writes product prices, dimensions and fact; ``Layers`` over staging and these."""
+    st = built.staging
+    prices = {"product_prices": run.write("product_prices", INTERMEDIATE,
+                                          W.product_prices(st["order_items"]), "model")}
+    built = type(built)(built.raw, built.band_cuts, staging=st, models=prices)
     write_together({name: lambda name=name: getattr(built, name) for name in DIMENSIONS})  # their keys
     models = built.warehouse()
     kept = write_together({
         name: lambda name=name: run.write(name, "warehouse", models[name], "dimension",
                                           WAREHOUSE_SCHEMAS[name], WAREHOUSE_KEYS[name])
-        for name in DIMENSIONS})
-    st = built.staging
+        for name in DIMENSIONS}) | prices
     kept["order_customer_keys"] = run.write(
         "order_customer_keys", INTERMEDIATE,
         W.customer_key_lookup(st["orders"], st["customers"], kept["dim_customers"]), "lookup",
-        buckets=(_buckets(run.spark), "order_id"))
+        buckets=(buckets(run.spark), "order_id"))
     over = type(built)(built.raw, built.band_cuts, staging=st, models=kept)
     kept["fact_orders"] = run.write(
         "fact_orders", "warehouse", with_month(over.fact_orders), "fact",
@@ -105,7 +108,7 @@ FOR_MARTS = (*BY_ORDER, "customers", "products", "category_translation")
 def modelled(run: StoreRun, over: Layers) -> Layers:
     """Writes the item model, by order, and the product model; ``Layers`` over these too."""
     frames = {n: getattr(over, n) for n in ("int_orders_items_joined", "int_products_enriched")}
-    by_order = {"int_orders_items_joined": (_buckets(run.spark), "order_id")}
+    by_order = {"int_orders_items_joined": (buckets(run.spark), "order_id")}
     models = dict(over.models) | write_together({
         n: lambda n=n, df=df: run.write(n, INTERMEDIATE, df, "model", buckets=by_order.get(n))
         for n, df in frames.items()})
