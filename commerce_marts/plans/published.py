@@ -7,7 +7,8 @@ The pointer is read once, so all reports of a book see the same run even if anot
 published meanwhile.  With ``months`` the fact is limited to these order months by its
 partition column, so files of other months are not opened.
 
-``publish_reports`` writes every result set as a typed table of the layer ``reports`` and
+``publish_reports`` combines the fact per order and per product, once each for all reports, then
+writes every result set as a typed table of the layer ``reports`` and
 publishes them together; dashboards then read a few rows.  ``report_values`` is the same book
 in long form, for comparisons between two runs.
 
@@ -25,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commerce_marts.plans import reports as R
-from commerce_marts.plans.build import DIMENSIONS, MONTH, write_together
+from commerce_marts.plans.build import DIMENSIONS, MONTH, buckets, write_together
 from commerce_marts.plans.layers import DRIVER_BAND_CUTS, Layers
 from commerce_marts.sources.bindings import STATES
 from commerce_marts.sources.schemas import SOURCES
-from commerce_marts.sources.store import TableStore
+from commerce_marts.sources.store import INTERMEDIATE, TableStore
 
 REPORT_LAYER = "reports"
 MODELS = (*DIMENSIONS, "fact_orders", "int_orders_items_joined", "int_products_enriched",
@@ -46,25 +47,25 @@ class Report(NamedTuple):
 
 
 def _trend(p: Layers) -> DataFrame:
-    return R.delivery_satisfaction_trend(R.delivery_vs_satisfaction(p.fact_orders, p.dim_customers))
+    return R.delivery_satisfaction_trend(R.delivery_vs_satisfaction(p.fact_by_order, p.dim_customers))
 
 
 def report_set(states: Sequence[str] = STATES) -> dict[str, Report]:
     """Every report by name; ``states`` are the columns of the heat maps."""
     state, month = ("customer_state",), ("order_year", "order_month")
     return {
-        "revenue_by_state": Report(lambda p: R.revenue_by_state(p.fact_orders, p.dim_customers),
+        "revenue_by_state": Report(lambda p: R.revenue_by_state(p.fact_by_order, p.dim_customers),
                                    state),
-        "revenue_over_time": Report(lambda p: R.revenue_over_time(p.fact_orders, p.dim_date),
+        "revenue_over_time": Report(lambda p: R.revenue_over_time(p.fact_by_order, p.dim_date),
                                     ("year", "month")),
-        "top_categories": Report(lambda p: R.top_categories(p.fact_orders, p.dim_products),
+        "top_categories": Report(lambda p: R.top_categories(p.fact_by_product, p.dim_products),
                                  ("category",)),
         "delivery_vs_satisfaction": Report(
-            lambda p: R.delivery_vs_satisfaction(p.fact_orders, p.dim_customers), state),
+            lambda p: R.delivery_vs_satisfaction(p.fact_by_order, p.dim_customers), state),
         "delivery_satisfaction_trend": Report(_trend),
-        "orders_by_weekday": Report(lambda p: R.orders_by_weekday(p.fact_orders, p.dim_date),
+        "orders_by_weekday": Report(lambda p: R.orders_by_weekday(p.fact_by_order, p.dim_date),
                                     ("day_name",)),
-        "price_bands": Report(lambda p: R.price_bands(p.fact_orders, p.dim_products),
+        "price_bands": Report(lambda p: R.price_bands(p.fact_by_product, p.dim_products),
                               ("price_band",)),
         "payment_types": Report(lambda p: R.payment_types(p.staging["order_payments"]),
                                 ("payment_type",), False),
@@ -73,16 +74,16 @@ def report_set(states: Sequence[str] = STATES) -> dict[str, Report]:
         "review_avg_score": Report(lambda p: R.review_avg_score(
             R.review_distribution(p.staging["order_reviews"])), (), False),
         "executive_summary": Report(lambda p: R.executive_summary(
-            p.fact_orders, p.dim_customers, p.dim_products, p.dim_sellers)),
+            p.fact_by_order, p.dim_customers, p.dim_products, p.dim_sellers)),
         "verify_revenue_by_state": Report(
-            lambda p: R.verify_revenue_by_state(p.fact_orders, p.dim_customers), state),
+            lambda p: R.verify_revenue_by_state(p.fact_by_order, p.dim_customers), state),
         "delivery_metrics": Report(lambda p: R.delivery_metrics(p.fact_orders)),
         "orders_customers_check": Report(lambda p: R.orders_customers_check(
             p.staging["orders"], p.staging["customers"]), state, False),
         "latest_orders": Report(lambda p: R.latest_orders(p.staging["orders"]),
                                 ("order_id",), False),
         "revenue_share_by_state": Report(
-            lambda p: R.revenue_share_by_state(p.fact_orders, p.dim_customers), state),
+            lambda p: R.revenue_share_by_state(p.fact_by_order, p.dim_customers), state),
         "payment_share": Report(lambda p: R.payment_share(p.staging["order_payments"]),
                                 ("payment_type",), False),
         "dashboard_measures": Report(lambda p: R.dashboard_measures(
@@ -92,11 +93,11 @@ def report_set(states: Sequence[str] = STATES) -> dict[str, Report]:
         "month_state_heatmap": Report(lambda p: R.month_state_heatmap(
             p.int_orders_items_joined, p.views["stg_customers"], states), month[1:], False),
         "delivery_insights": Report(lambda p: R.delivery_insights(
-            R.orders_by_weekday(p.fact_orders, p.dim_date), p.fact_orders)),
+            R.orders_by_weekday(p.fact_by_order, p.dim_date), p.fact_orders)),
         "on_time_by_state": Report(lambda p: R.on_time_by_state(
             p.int_orders_items_joined, p.views["stg_customers"]), state, False),
         "price_vs_review": Report(lambda p: R.price_vs_review(
-            p.mart_product_performance, R.top_categories(p.fact_orders, p.dim_products, 10)),
+            p.mart_product_performance, R.top_categories(p.fact_by_product, p.dim_products, 10)),
             ("category_en", "price_band")),
     }
 
@@ -126,11 +127,20 @@ def book(layers: Layers, states: Sequence[str] = STATES,
 def publish_reports(store: TableStore, states: Sequence[str] = STATES,
                     names: Sequence[str] | None = None) -> None:
     """Writes the reports of the published warehouse and publishes them together."""
-    results = book(published(store), states, names)
-    with store.run() as run:
-        write_together({n: lambda n=n, df=df: run.write(n, REPORT_LAYER, df, "report")
-                        for n, df in results.items()})
-        run.publish()
+    over = published(store)
+    with store.run() as shared:  # not published: its files go when the reports are written
+        combined = write_together({
+            "fact_by_order": lambda: shared.write(
+                "fact_by_order", INTERMEDIATE, over.fact_by_order, "model",
+                buckets=(buckets(store.spark), "customer_key")),
+            "fact_by_product": lambda: shared.write(
+                "fact_by_product", INTERMEDIATE, over.fact_by_product, "model")})
+        results = book(Layers(over.raw, over.band_cuts, staging=over.staging,
+                              models={**over.models, **combined}), states, names)
+        with store.run() as run:
+            write_together({n: lambda n=n, df=df: run.write(n, REPORT_LAYER, df, "report")
+                            for n, df in results.items()})
+            run.publish()
 
 
 def report_values(results: Mapping[str, DataFrame], states: Sequence[str] = STATES) -> DataFrame:
